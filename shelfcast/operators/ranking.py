@@ -125,6 +125,13 @@ def exact_quantiles(
     Equal values are counted before the shuffle; ranks come from running totals of the counts.
     """
     counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    return quantiles_of_counts(counts, value, probabilities, by)
+
+
+def quantiles_of_counts(
+    counts: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = ()
+) -> DataFrame:
+    """``exact_quantiles`` of a table that already holds one row and a count ``_n`` per value."""
     ranked = running_totals(counts, by, value, ["_n"])
 
     def position(p: float) -> Column:
