@@ -118,16 +118,16 @@ def example_series(df: DataFrame, window: int = 28) -> DataFrame:
 def lag_autocorrelation(df: DataFrame, max_lag: int = 56) -> DataFrame:
     """Mean over the series of the correlation of sales with its own lag, for lags 1..max_lag.
 
-    Lags are columns, so a row is never repeated per lag; series without variance are skipped.
+    The past of a row is unfolded and summed per (series, lag) inside the task that built it, so
+    only one row per series and lag leaves the task. Series without variance are skipped.
     """
-    lags = range(1, max_lag + 1)
-    lagged = df.select(*SERIES, SALES, *[c.alias(n) for n, c in lag_windows(lags).items()])
-    per_series = lagged.groupBy(*SERIES).agg(
-        *[F.corr(SALES, lag_name(k)).alias(lag_name(k)) for k in lags]
+    past = F.reverse(F.collect_list(SALES).over(series_window().rowsBetween(-max_lag, -1)))
+    unfolded = df.select(*SERIES, SALES, past.alias("_past")).select(
+        *SERIES, SALES, F.posexplode("_past").alias("_back", "_value")
     )
-    mean = per_series.agg(*[F.avg(F.nanvl(F.col(lag_name(k)), F.lit(None))).alias(str(k)) for k in lags])
-    return mean.unpivot([], [str(k) for k in lags], "lag", "correlation").select(
-        F.col("lag").cast("int").alias("lag"), "correlation"
+    per_series = unfolded.groupBy(*SERIES, "_back").agg(F.corr(SALES, "_value").alias("_corr"))
+    return per_series.groupBy((F.col("_back") + 1).alias("lag")).agg(
+        F.avg(F.nanvl(F.col("_corr"), F.lit(None))).alias("correlation")
     )
 
 

@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfcast.session import materialize
+
 BLOCK_ROWS = 100_000
 MAX_CUTS = 4095
 CUTS_PER_GROUP = 64
@@ -21,36 +23,22 @@ def _partition(columns: Sequence[str | Column]):
     return Window.partitionBy(*columns) if columns else Window.partitionBy(F.lit(0))
 
 
-def _cut_points(
-    rows: DataFrame, keys: Sequence[str], order: str, values: Sequence[str], block_rows: int
-) -> Column:
+def _cut_points(rows: DataFrame, keys: Sequence[str], order: str, cuts: int) -> Column:
     """Scalar array of arrays: sorted cut points in chunks, each chunk led by its first cut.
 
     The rows with the smallest hashes are a uniform sample that is the same on every attempt and
-    follows the data's own skew. One cut per ``block_rows`` rows, at most ``MAX_CUTS``; a small
-    input gets none and stays a plain window. Both passes read every value column, so they share
-    the shuffle behind ``rows`` with the main pass instead of computing ``rows`` again.
+    follows the data's own skew.
     """
-    present = F.coalesce(*[F.col(v).cast("double") for v in values])
-    sample = (
-        rows.select(
-            F.struct(
-                F.xxhash64(*keys).alias("h"), F.col(order).alias("at"), *[F.col(v) for v in values]
-            ).alias("s")
-        )
-        .orderBy("s")
-        .limit(MAX_CUTS)
-        .agg(F.array_sort(F.collect_list("s")).alias("sample"))
-    )
-    wanted = F.floor(rows.agg(F.count(present)).scalar() / block_rows).cast("int")
     chunks = (
         f"transform(sequence(0, greatest(0, ceil(size(cuts) / {CUTS_PER_GROUP}) - 1)),"
         f" i -> slice(cuts, int(i * {CUTS_PER_GROUP} + 1), {CUTS_PER_GROUP}))"
     )
     return (
-        sample.withColumn("wanted", F.least(wanted, F.lit(MAX_CUTS)))
-        .select(F.expr("array_sort(array_distinct(slice(sample, 1, wanted).at)) AS cuts"))
-        .select(F.expr(chunks).alias("chunks"))
+        rows.select(F.xxhash64(*keys).alias("_h"), F.col(order).alias("_at"))
+        .orderBy("_h", "_at")
+        .limit(cuts)
+        .agg(F.array_sort(F.collect_set("_at")).alias("cuts"))
+        .select(F.expr(chunks))
         .scalar()
     )
 
@@ -77,20 +65,31 @@ def running_totals(
     """Add, for each value ``v``, ``v_before`` (sum over earlier rows of the group) and ``v_total``.
 
     ``rows`` holds one row per (by, order); a null key has no place in the order and is left out.
-    The blocks only steer the layout, never the result.
+    It is computed once and counted: up to ``block_rows`` rows a plain window is enough, beyond
+    that the order is cut into blocks of about that size. Blocks only steer the layout, never the
+    result.
     """
     keys = [*by, order]
-    # Filtered here, for all passes alike: a filter that only the join infers would reach the scan
-    # of one pass and keep the others from sharing its shuffle.
-    rows = rows.dropna(subset=sorted(keys))
+    rows = materialize(rows.dropna(subset=keys))
+    size = rows.count()
+    group = _partition(by)
+    past = (Window.unboundedPreceding, -1)
+    if size <= block_rows:
+        earlier = group.orderBy(order).rowsBetween(*past)
+        return rows.withColumns(
+            {
+                **{f"{v}_before": F.coalesce(F.sum(v).over(earlier), F.lit(0)) for v in values},
+                **{f"{v}_total": F.sum(v).over(group) for v in values},
+            }
+        )
+
+    cuts = _cut_points(rows, keys, order, min(MAX_CUTS, size // block_rows))
     blocked = (
-        rows.withColumn("_cuts", _cut_points(rows, keys, order, values, block_rows))
+        rows.withColumn("_cuts", cuts)
         .withColumn("_block", F.coalesce(_block_of("_cuts", f"`{order}`"), F.lit(0)))
         .drop("_cuts")
     )
-
-    group = _partition(by)
-    earlier = group.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = group.orderBy("_block").rowsBetween(*past)
     bases = (
         blocked.groupBy(*by, "_block")
         .agg(*[F.sum(v).alias(f"_{v}") for v in values])
@@ -101,7 +100,7 @@ def running_totals(
             *[F.sum(f"_{v}").over(group).alias(f"{v}_total") for v in values],
         )
     )
-    inside = _partition([*by, "_block"]).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    inside = _partition([*by, "_block"]).orderBy(order).rowsBetween(*past)
     return (
         blocked.join(bases, [*by, "_block"])
         .withColumns(

@@ -31,11 +31,16 @@ from shelfcast.config import BoostingConfig
 from shelfcast.functions.scalars import non_negative
 from shelfcast.plans import panels
 from shelfcast.schema import DATE, ITEM, SALES, SERIES, STORE, feature_columns
+from shelfcast.session import materialize
 from shelfcast.sources.tables import table_fingerprint
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Means of whole numbers can lie exactly between two rounded values; engines round those differently.
+TIE_BREAK = 1e-10
+
+
 def report(df: DataFrame, digits: int = 6) -> DataFrame:
     """Comparable output: text dates, 64-bit counts, rounded numbers (without a negative zero)."""
     shown = []
@@ -46,7 +51,7 @@ def report(df: DataFrame, digits: int = 6) -> DataFrame:
         elif isinstance(field.dataType, (T.ByteType, T.ShortType, T.IntegerType)):
             c = c.cast("long")
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c, digits) + F.lit(0.0)
+            c = F.round(c + F.lit(TIE_BREAK), digits) + F.lit(0.0)
         shown.append(c.alias(field.name))
     return df.select(*shown)
 
@@ -165,12 +170,17 @@ def _patterns(spark, sf):
     return rolling.add_demand_pattern_features(rolled).select(DATE, *SERIES, *rolling.PATTERN_COLUMNS)
 
 
+def _stored_panel(spark, sf):
+    """The panel as the operators with several passes expect it: written once, then read."""
+    return materialize(panels.sales_sparse(spark, sf))
+
+
 def _features(spark, sf):
-    return features.build_features(panels.sales_sparse(spark, sf), drop_missing=False)
+    return features.build_features(_stored_panel(spark, sf), drop_missing=False)
 
 
 def _features_complete(spark, sf):
-    return features.build_features(panels.sales_sparse(spark, sf))
+    return features.build_features(_stored_panel(spark, sf))
 
 
 # ---- descriptive reports ------------------------------------------------------------------------
@@ -252,7 +262,7 @@ def _backtest_baseline(spark, sf):
 
 def _drift_sides(spark, sf):
     panel = panels.sales_business(spark, sf).withColumn("sales_month", F.date_format(DATE, "yyyy-MM"))
-    train, validation, test = normalize.split_parts(panel)
+    train, validation, test = normalize.split_parts(materialize(panel))
     return train.unionByName(validation), test
 
 
@@ -379,10 +389,8 @@ QUERY_BOOSTING = BoostingConfig(n_estimators=10, max_depth=4, learning_rate=0.2)
 
 
 def _feature_parts(spark, sf):
-    table = features.build_features(panels.sales_sparse(spark, sf))
-    # One write of the feature table serves all fits; the folder is the cluster's checkpoint folder.
-    models.checkpoint_folder(spark)
-    return normalize.split_parts(table.checkpoint())
+    # One write of the feature table serves all fits.
+    return normalize.split_parts(materialize(features.build_features(_stored_panel(spark, sf))))
 
 
 def _model_leaderboard(spark, sf):
@@ -441,8 +449,9 @@ def _native_importance(spark, sf):
 
 def candidates_from(spark, sf):
     """The two baselines as registered versions, and one more version on changed data."""
-    board = evaluate.leaderboard(baseline.baseline_scores(*_rolled_parts(spark, sf), same_split=True))
-    panel = panels.sales_sparse(spark, sf)
+    panel = _stored_panel(spark, sf)
+    parts = normalize.split_parts(rolling.add_rolling_features(panel, [7]))
+    board = materialize(evaluate.leaderboard(baseline.baseline_scores(*parts, same_split=True)))
     dataset = panel.agg(
         F.count(F.lit(1)).alias("dataset_rows"), F.min(DATE).alias("dataset_start"), F.max(DATE).alias("dataset_end")
     ).withColumn("dataset_hash", F.md5(F.concat_ws("|", "dataset_rows", "dataset_start", "dataset_end")))

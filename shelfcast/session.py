@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "shelfcast", master: str | None = None, **conf: str) -> SparkSession:
@@ -16,6 +16,7 @@ def build_session(app_name: str = "shelfcast", master: str | None = None, **conf
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if master:
         builder = builder.master(master)
@@ -50,3 +51,12 @@ def checkpoint_folder(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", folder)
     spark.sparkContext.setCheckpointDir(folder)
     return folder
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute once and keep on shared storage, for tables that several passes read.
+
+    Survives lost executors, unlike a cached table, and cuts the lineage.
+    """
+    checkpoint_folder(df.sparkSession)
+    return df.checkpoint()
