@@ -28,7 +28,7 @@ def native_importance(model: PipelineModel, scored: DataFrame, top_n: int | None
     """Tree importances or absolute coefficients, named after the vector slots of the pipeline."""
     last = model.stages[-1]
     vector = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
-    attributes = scored.schema["features"].metadata.get("ml_attr", {}).get("attrs", {})
+    attributes = scored.schema[last.getFeaturesCol()].metadata.get("ml_attr", {}).get("attrs", {})
     slots = {a["idx"]: a.get("name", f"feature_{a['idx']}") for kind in attributes.values() for a in kind}
     values = [(slots.get(i, f"feature_{i}"), abs(float(v))) for i, v in enumerate(vector.toArray())]
     return _ranked(scored.sparkSession.createDataFrame(values, "feature string, importance double"), top_n)

@@ -14,6 +14,7 @@ from pyspark.ml.feature import (
     OneHotEncoder,
     StandardScaler,
     StringIndexer,
+    VarianceThresholdSelector,
     VectorAssembler,
 )
 from pyspark.ml.linalg import Vectors
@@ -92,15 +93,18 @@ def preprocessor(columns: Sequence[str], scale_rows: int | None = None) -> list:
 def ridge(columns: Sequence[str], facts: TrainingFacts, alpha: float = RIDGE_ALPHA) -> Pipeline:
     """Least squares with an L2 penalty ``alpha`` on the summed squared error.
 
-    Spark divides the loss by the rows and scales the penalty by the target deviation.
+    Spark divides the loss by the rows and scales the penalty by the target deviation. Constant
+    inputs would make the normal equations singular and are left out.
     """
+    varying = VarianceThresholdSelector(featuresCol="features", outputCol="_varying", varianceThreshold=0.0)
     model = LinearRegression(
         labelCol=SALES,
+        featuresCol="_varying",
         elasticNetParam=0.0,
         standardization=False,
         regParam=alpha * facts.target_deviation / facts.rows,
     )
-    return Pipeline(stages=[*preprocessor(columns, facts.rows), model])
+    return Pipeline(stages=[*preprocessor(columns, facts.rows), varying, model])
 
 
 def boosted_trees(columns: Sequence[str], params: BoostingConfig | None = None) -> Pipeline:

@@ -56,6 +56,11 @@ def report(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*shown)
 
 
+def _stored_panel(spark, sf):
+    """The panel as the operators with several passes expect it: written once, then read."""
+    return materialize(panels.sales_sparse(spark, sf))
+
+
 # ---- intake and quality -------------------------------------------------------------------------
 
 
@@ -101,7 +106,7 @@ def _dq_report(spark, sf):
 
 
 def _dq_shape(spark, sf):
-    return quality.quality_report(panels.sales_sparse(spark, sf), check_shape=True)
+    return quality.quality_report(_stored_panel(spark, sf), check_shape=True)
 
 
 def _dq_missingness(spark, sf):
@@ -120,7 +125,7 @@ EXPECTED = quality.DatasetExpectation(min_rows=40_000, stores=5, items=7, start=
 
 
 def _verify(spark, sf):
-    return quality.verify_dataset(panels.sales_sparse(spark, sf), EXPECTED)
+    return quality.verify_dataset(_stored_panel(spark, sf), EXPECTED)
 
 
 def _verdict(spark, sf):
@@ -135,7 +140,7 @@ def _calendar(spark, sf):
 
 
 def _holidays(spark, sf):
-    dated = calendar.add_date_features(panels.sales_sparse(spark, sf))
+    dated = calendar.add_date_features(_stored_panel(spark, sf))
     return dated.select(DATE, *SERIES, "is_us_holiday", "days_to_nearest_us_holiday")
 
 
@@ -158,11 +163,11 @@ def _rolling_median(spark, sf):
 
 
 def _history(spark, sf):
-    return history.add_history_aggregates(panels.sales_sparse(spark, sf))
+    return history.add_history_aggregates(_stored_panel(spark, sf))
 
 
 def _history_chrono(spark, sf):
-    return history.add_history_aggregates(panels.sales_sparse(spark, sf), mode="chronological")
+    return history.add_history_aggregates(_stored_panel(spark, sf), mode="chronological")
 
 
 def _patterns(spark, sf):
@@ -170,11 +175,6 @@ def _patterns(spark, sf):
     return rolling.add_demand_pattern_features(rolled).select(DATE, *SERIES, *rolling.PATTERN_COLUMNS)
 
 
-def _stored_panel(spark, sf):
-    """The panel as the operators with several passes expect it: written once, then read."""
-    return materialize(panels.sales_sparse(spark, sf))
-
-
 def _features(spark, sf):
     return features.build_features(_stored_panel(spark, sf), drop_missing=False)
 
@@ -187,7 +187,7 @@ def _features_complete(spark, sf):
 
 
 def _group_stats(spark, sf):
-    panel = panels.sales_sparse(spark, sf)
+    panel = _stored_panel(spark, sf)
     return eda.group_stats(panel, STORE).unionByName(eda.group_stats(panel, ITEM))
 
 
@@ -195,11 +195,15 @@ def _on_sparse(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf: operator(panels.sales_sparse(spark, sf))
 
 
+def _on_stored(operator: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf: operator(_stored_panel(spark, sf))
+
+
 # ---- evaluation ---------------------------------------------------------------------------------
 
 
 def _parts(spark, sf):
-    return normalize.split_parts(panels.sales_sparse(spark, sf))
+    return normalize.split_parts(_stored_panel(spark, sf))
 
 
 def _seasonal(spark, sf):
@@ -212,7 +216,7 @@ def _metrics(spark, sf):
 
 
 def _rolled_parts(spark, sf):
-    rolled = rolling.add_rolling_features(panels.sales_sparse(spark, sf), [7])
+    rolled = rolling.add_rolling_features(_stored_panel(spark, sf), [7])
     return normalize.split_parts(rolled)
 
 
@@ -253,7 +257,7 @@ def _folds(spark, sf):
 
 
 def _backtest_baseline(spark, sf):
-    rolled = rolling.add_rolling_features(panels.sales_sparse(spark, sf), [7])
+    rolled = rolling.add_rolling_features(_stored_panel(spark, sf), [7])
     return backtest.backtest_baselines(rolled)
 
 
@@ -295,7 +299,7 @@ def _drift_status(spark, sf):
 
 
 def _drift_split(spark, sf):
-    return drift.split_reference_current(panels.sales_sparse(spark, sf), by="position")
+    return drift.split_reference_current(_stored_panel(spark, sf), by="position")
 
 
 def _drift_split_date(spark, sf):
@@ -306,7 +310,7 @@ def _drift_split_date(spark, sf):
 
 
 def _feature_state(spark, sf):
-    series = state.feature_state(panels.sales_sparse(spark, sf)).series
+    series = state.feature_state(_stored_panel(spark, sf)).series
     return series.select(
         *SERIES,
         F.size("history").alias("kept_days"),
@@ -334,13 +338,13 @@ def requests_from(panel: DataFrame) -> DataFrame:
 
 
 def _serving(spark, sf):
-    panel = panels.sales_sparse(spark, sf)
+    panel = _stored_panel(spark, sf)
     served = forecast.serving_features(requests_from(panel), state.feature_state(panel))
     return served.where(~F.col(ITEM).startswith("NEW "))
 
 
 def _cold_start(spark, sf):
-    panel = panels.sales_sparse(spark, sf)
+    panel = _stored_panel(spark, sf)
     served = forecast.serving_features(
         requests_from(panel), state.feature_state(panel), cold_start="hierarchical"
     )
@@ -356,7 +360,7 @@ def _cold_start(spark, sf):
 
 
 def _grid(spark, sf):
-    grid = forecast.forecast_grid(state.feature_state(panels.sales_sparse(spark, sf)))
+    grid = forecast.forecast_grid(state.feature_state(_stored_panel(spark, sf)))
     return grid.select(
         *SERIES, "forecast_date", "horizon", "day_of_week", "sales_lag_7", "sales_lag_28", "sales_rolling_mean_7"
     )
@@ -368,16 +372,16 @@ def lag_or_mean(rows: DataFrame) -> DataFrame:
 
 
 def _forecast(spark, sf):
-    return forecast.forecast_next_days(state.feature_state(panels.sales_sparse(spark, sf)), lag_or_mean)
+    return forecast.forecast_next_days(state.feature_state(_stored_panel(spark, sf)), lag_or_mean)
 
 
 def _forecast_series(spark, sf):
-    series_state = state.feature_state(panels.sales_sparse(spark, sf))
+    series_state = state.feature_state(_stored_panel(spark, sf))
     return forecast.forecast_series(series_state, "ASIA", "PROMO", lag_or_mean, days=60)
 
 
 def _score_requests(spark, sf):
-    panel = panels.sales_sparse(spark, sf)
+    panel = _stored_panel(spark, sf)
     scored = forecast.score_requests(requests_from(panel), state.feature_state(panel), lag_or_mean)
     return scored.select(*SERIES, "forecast_date", "prediction")
 
@@ -510,12 +514,12 @@ QUERIES: dict[str, Query] = {
     "demand_pattern": _patterns,
     "build_features": _features,
     "features_complete": _features_complete,
-    "sales_summary": _on_sparse(eda.sales_summary),
+    "sales_summary": _on_stored(eda.sales_summary),
     "daily_sales": _on_sparse(eda.daily_sales),
     "dow_profile": _on_sparse(eda.weekday_profile),
     "month_profile": _on_sparse(eda.month_profile),
     "store_profile": _on_sparse(eda.store_profile),
-    "store_item_pivot": _on_sparse(eda.store_item_pivot),
+    "store_item_pivot": _on_stored(eda.store_item_pivot),
     "top_items": _on_sparse(lambda df: eda.top_items(df, 3)),
     "example_series": _on_sparse(eda.example_series),
     "lag_autocorrelation": _on_sparse(eda.lag_autocorrelation),
