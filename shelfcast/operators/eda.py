@@ -20,23 +20,34 @@ def _median(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return exact_quantiles(df, SALES, [0.5], by).select(*by, F.col("quantiles")[0].alias("median_sales"))
 
 
-def sales_summary(df: DataFrame) -> DataFrame:
-    """One row: size, dates, distinct keys, mean, median, zero rate, duplicates and nulls."""
+def sales_summary(df: DataFrame, approximate: bool = False) -> DataFrame:
+    """One row: size, dates, distinct keys, mean, median, zero rate, duplicates and nulls.
+
+    ``approximate`` replaces the exact median and level counts by sketches in the main pass.
+    """
     nulls = sum((F.count_if(F.col(c).isNull()) for c in df.columns), F.lit(0))
     surplus = duplicate_keys(df).agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)))
-    return df.agg(
+    sketches = [
+        F.approx_count_distinct(STORE).alias("store_count"),
+        F.approx_count_distinct(ITEM).alias("item_count"),
+        F.percentile_approx(SALES, 0.5, 10_000).cast("double").alias("median_sales"),
+    ]
+    summary = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.min(DATE).alias("date_min"),
         F.max(DATE).alias("date_max"),
         F.avg(SALES).alias("mean_sales"),
         F.avg((F.col(SALES) == 0).cast("double")).alias("zero_sales_rate"),
         nulls.alias("missing_value_count"),
-    ).withColumns(
+        *(sketches if approximate else []),
+    ).withColumn("duplicate_key_count", surplus.scalar())
+    if approximate:
+        return summary
+    return summary.withColumns(
         {
             "store_count": distinct_levels(df, STORE).scalar(),
             "item_count": distinct_levels(df, ITEM).scalar(),
             "median_sales": _median(df).select("median_sales").scalar(),
-            "duplicate_key_count": surplus.scalar(),
         }
     )
 

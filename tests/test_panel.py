@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.config import load_config
-from shelfcast.operators import normalize, quality
+from shelfcast.operators import eda, normalize, quality
 from shelfcast.sources import tables
 
 
@@ -132,3 +132,9 @@ def test_config_overrides(tmp_path):
 def test_split_bounds(daily):
     row = normalize.split_bounds(daily(1, 1, 30), 5, 5).first()
     assert row["test_start"] == dt.date(2024, 1, 26) and row["validation_start"] == dt.date(2024, 1, 21)
+
+
+def test_approximate_summary_agrees_on_small_data(daily):
+    panel = daily(3, 4, 31)
+    exact, rough = (eda.sales_summary(panel, approximate=a).first().asDict() for a in (False, True))
+    assert exact == rough and exact["median_sales"] == 15.0
