@@ -61,16 +61,18 @@ def running_totals(
     order: str,
     values: Sequence[str],
     block_rows: int = BLOCK_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
     """Add, for each value ``v``, ``v_before`` (sum over earlier rows of the group) and ``v_total``.
 
     ``rows`` holds one row per (by, order); a null key has no place in the order and is left out.
-    It is computed once and counted: up to ``block_rows`` rows a plain window is enough, beyond
-    that the order is cut into blocks of about that size. Blocks only steer the layout, never the
-    result.
+    It is computed once (unless ``stored`` already) and counted: up to ``block_rows`` rows a plain
+    window is enough, beyond that the order is cut into blocks of about that size. Blocks only
+    steer the layout, never the result.
     """
     keys = [*by, order]
-    rows = materialize(rows.dropna(subset=keys))
+    rows = rows.dropna(subset=keys)
+    rows = rows if stored else materialize(rows)
     size = rows.count()
     group = _partition(by)
     past = (Window.unboundedPreceding, -1)
@@ -128,31 +130,29 @@ def exact_quantiles(
 
 
 def quantiles_of_counts(
-    counts: DataFrame, value: str, probabilities: Sequence[float], by: Sequence[str] = ()
+    counts: DataFrame,
+    value: str,
+    probabilities: Sequence[float],
+    by: Sequence[str] = (),
+    stored: bool = False,
 ) -> DataFrame:
     """``exact_quantiles`` of a table that already holds one row and a count ``_n`` per value."""
-    ranked = running_totals(counts, by, value, ["_n"])
-
-    def position(p: float) -> Column:
-        exact = (F.col("_n_total") - 1) * F.lit(float(p))
-        nearest = F.rint(exact)
-        return F.when(F.abs(exact - nearest) < 1e-9, nearest).otherwise(exact)
-
-    def value_at(rank: Column) -> Column:
-        hit = (F.col("_n_before") <= rank) & (rank < F.col("_n_before") + F.col("_n"))
-        return F.max(F.when(hit, F.col(value).cast("double")))
-
-    picks = []
-    for i, p in enumerate(probabilities):
-        at = position(p)
-        picks += [
-            value_at(F.floor(at)).alias(f"_lo{i}"),
-            value_at(F.ceil(at)).alias(f"_hi{i}"),
-            F.max(at - F.floor(at)).alias(f"_f{i}"),
-        ]
-    found = ranked.groupBy(*by).agg(*picks)
-    steps = [
-        F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_f{i}")
-        for i in range(len(probabilities))
+    ranked = running_totals(counts, by, value, ["_n"], stored=stored)
+    exact = [f"((_n_total - 1) * {float(p)!r}D)" for p in probabilities]
+    # A position that is whole but for rounding error is whole.
+    positions = [
+        f"CASE WHEN abs({e} - rint({e})) < 1e-9D THEN rint({e}) ELSE {e} END AS _p{i}" for i, e in enumerate(exact)
     ]
-    return found.select(*by, F.array(*steps).alias("quantiles"))
+    picks = []
+    for i in range(len(exact)):
+        for name, rank in (("lo", f"floor(_p{i})"), ("hi", f"ceil(_p{i})")):
+            hit = f"_n_before <= {rank} AND {rank} < _n_before + _n"
+            picks.append(f"max(CASE WHEN {hit} THEN double(`{value}`) END) AS _{name}{i}")
+        picks.append(f"max(_p{i} - floor(_p{i})) AS _f{i}")
+    steps = ", ".join(f"_lo{i} + (_hi{i} - _lo{i}) * _f{i}" for i in range(len(exact)))
+    return (
+        ranked.selectExpr(*[f"`{b}`" for b in by], f"`{value}`", "_n", "_n_before", "_n_total", *positions)
+        .groupBy(*by)
+        .agg(*[F.expr(p) for p in picks])
+        .select(*by, F.expr(f"array({steps})").alias("quantiles"))
+    )
