@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfcast.functions.scalars import lenient_double
 from shelfcast.schema import DATE, ITEM, KEY, REQUIRED, SALES, SERIES, STORE
@@ -23,9 +24,16 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] = KEY) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") > 1)
 
 
+def _is_missing(df: DataFrame, column: str) -> Column:
+    """Null, or NaN in a floating-point column."""
+    value = F.col(column)
+    floating = isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
+    return value.isNull() | F.isnan(value) if floating else value.isNull()
+
+
 def missing_rates(df: DataFrame) -> DataFrame:
     """Null rate of every column, one row per column, from one pass."""
-    rates = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in df.columns])
+    rates = df.agg(*[F.avg(_is_missing(df, c).cast("double")).alias(c) for c in df.columns])
     return rates.unpivot([], df.columns, "column", "missing_rate")
 
 
@@ -84,13 +92,12 @@ def quality_report(
         )
 
     day = _parsed_date()
-    # Text that is not a number is a type fault of its own; only real nulls count as missing here.
     number = F.col(SALES).try_cast("double")
     facts = df.agg(
-        F.count_if(F.col(SALES).isNull()).alias("null_sales"),
+        F.count_if(_is_missing(df, SALES)).alias("null_sales"),
         F.count_if(number < 0).alias("negative_sales"),
         F.count_if(day.isNull()).alias("bad_dates"),
-        F.greatest(F.lit(0.0), *[F.avg(F.col(c).isNull().cast("double")) for c in df.columns]).alias("null_rate"),
+        F.greatest(F.lit(0.0), *[F.avg(_is_missing(df, c).cast("double")) for c in df.columns]).alias("null_rate"),
         F.coalesce(F.min(STORE) == F.max(STORE), F.lit(True)).alias("one_store"),
         F.coalesce(F.min(ITEM) == F.max(ITEM), F.lit(True)).alias("one_item"),
         F.datediff(F.max(day), F.min(day)).alias("span"),

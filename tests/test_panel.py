@@ -138,3 +138,11 @@ def test_approximate_summary_agrees_on_small_data(daily):
     panel = daily(3, 4, 31)
     exact, rough = (eda.sales_summary(panel, approximate=a).first().asDict() for a in (False, True))
     assert exact == rough and exact["median_sales"] == 15.0
+
+
+def test_nan_counts_as_missing(spark):
+    df = spark.createDataFrame(
+        [("2024-01-01", "1", "1", float("nan"))], "date string, store string, item string, sales double"
+    )
+    assert {r["check"] for r in quality.quality_report(df).collect()} == {"target_missing", "missingness"}
+    assert quality.missing_rates(df).where("column = 'sales'").first()["missing_rate"] == 1.0
