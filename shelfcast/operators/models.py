@@ -154,7 +154,7 @@ def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
 
     A lost executor only costs the recomputation of its cached blocks.
     """
-    checkpoint_folder(train.sparkSession)
+    train.sparkSession.sparkContext.setCheckpointDir(checkpoint_folder(train.sparkSession))
     cached = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return pipeline.fit(cached)
@@ -220,7 +220,7 @@ def param_search(
     train: DataFrame, validation: DataFrame, trials: Sequence[BoostingConfig]
 ) -> DataFrame:
     """Validation errors of each trial, best first; both parts are prepared once for all trials."""
-    checkpoint_folder(train.sparkSession)
+    train.sparkSession.sparkContext.setCheckpointDir(checkpoint_folder(train.sparkSession))
     columns = feature_columns(train)
     prepared = Pipeline(stages=preprocessor(columns)).fit(train)
     parts = [

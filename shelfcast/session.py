@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,21 +42,24 @@ def local_session(cpus: int | str = "*", app_name: str = "shelfcast-local") -> S
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
-    """Folder for lineage checkpoints: the one the cluster names, a scratch one only in local mode."""
+    """Folder that all executors share: the one the cluster names, else one beside the warehouse in local mode."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
-        folder = tempfile.mkdtemp(prefix="shelfcast-checkpoint-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/shelfcast-scratch"
         spark.conf.set("spark.checkpoint.dir", folder)
-    spark.sparkContext.setCheckpointDir(folder)
     return folder
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute once and keep on shared storage, for tables that several passes read.
+def materialize(df: DataFrame, *partition_by: str) -> DataFrame:
+    """Write once as Parquet to the shared folder and read it back, for tables that several passes read.
 
-    Survives lost executors, unlike a cached table, and cuts the lineage.
+    The files outlive lost executors, cut the lineage, and can be pruned by column, row group and `partition_by`.
+    They stay until the folder is cleaned.
     """
-    checkpoint_folder(df.sparkSession)
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark)}/tables/{uuid.uuid4().hex}"
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*[f"`{name}`" for name in df.columns])
