@@ -25,8 +25,10 @@ def build_session(app_name: str = "shelfcast", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
-def local_session(cpus: int | str = "*", app_name: str = "shelfcast-local") -> SparkSession:
-    """Single-machine session for tests and the bench."""
+def local_session(
+    cpus: int | str = "*", app_name: str = "shelfcast-local", shared: str | None = None
+) -> SparkSession:
+    """Single-machine session for tests and the bench; `shared` is its folder for stored tables."""
     cores = os.cpu_count() if cpus == "*" else int(cpus)
     return build_session(
         app_name,
@@ -37,7 +39,8 @@ def local_session(cpus: int | str = "*", app_name: str = "shelfcast-local") -> S
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.execution.arrow.pyspark.enabled": "true",
-        },
+        }
+        | ({"spark.checkpoint.dir": shared} if shared else {}),
     )
 
 
@@ -48,7 +51,6 @@ def checkpoint_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/shelfcast-scratch"
-        spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 

@@ -13,9 +13,8 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark(tmp_path_factory):
     from shelfcast.session import local_session
 
-    session = local_session(8, "shelfcast-tests")
+    session = local_session(8, "shelfcast-tests", tmp_path_factory.mktemp("shared").as_uri())
     session.sparkContext.setLogLevel("ERROR")
-    session.conf.set("spark.checkpoint.dir", tmp_path_factory.mktemp("shared").as_uri())
     yield session
     session.stop()
 
