@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, linededup
+from shelfcast.llm import decontaminate, linededup, simhash, substrings
 from shelfcast.llm.oracle import LLM_ORACLE
 from shelfcast.llm.rows import table
 
@@ -23,7 +23,20 @@ def op6_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("r.doc_id", "n_lines", "n_removed", F.md5("kept").alias("kept_md5"))
 
 
+def op8_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = substrings.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+    return cut.withColumnRenamed("kept", "kept_sha256")
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    fingerprint = F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")
+    return rows.select("doc_id", fingerprint, "component_id")
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": op2_decontaminate,
     "op6_line_spread": op6_line_spread,
+    "op8_substrings": op8_substrings,
+    "op9_simhash": op9_simhash,
 }
