@@ -130,7 +130,7 @@ def write_bundles(
     seen = materialize(rows.select("page_id", "digest").distinct())
     last = materialize(seen.groupBy("digest").agg(F.max("page_id").alias("last")))
     roles = seen.join(last, "digest").select(F.col("page_id").alias("id"), F.col("digest").alias("d"), "last")
-    joined = rows.join(roles, F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("d")))
+    joined = rows.join(roles.hint("merge"), F.col("page_id").eqNullSafe(F.col("id")) & (F.col("digest") == F.col("d")))
     dealt = joined.select("page_id", "url", "payload", "digest", "last")
 
     def bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

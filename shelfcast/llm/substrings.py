@@ -231,7 +231,7 @@ def repeated_windows(owners: DataFrame, documents: DataFrame) -> DataFrame:
     shared = materialize(chosen.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"))
     wanted = chosen.join(shared, "h", "left_semi").groupBy("doc_id").agg(F.collect_set("h").alias("shared"))
     wanted = materialize(owners.join(wanted, "doc_id"))
-    read = materialize(documents.join(wanted, ["doc_id", "key"]).select("doc_id", "key", "text", "shared"))
+    read = materialize(documents.join(wanted.hint("merge"), ["doc_id", "key"]).select("doc_id", "key", "text", "shared"))
 
     searched = read.select("doc_id", _hashed(F.col("text")).alias("words"), "shared", "key")
     size = wanted.agg(F.sum(F.size("shared"))).first()[0] or 0
