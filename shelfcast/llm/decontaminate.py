@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.session import materialize
+
 WINDOW = 12
 MISSES = 2
 #: Kept word positions of each mask, in words from its start; the first takes consecutive words.
@@ -87,7 +89,7 @@ def _bitmap(spark, seeds: DataFrame) -> Column:
     dense = spark.range(BITMAP_WORDS).select(F.col("id").cast("int").alias("w"), F.lit(0).cast("long").alias("bits"))
     full = words.unionByName(dense).groupBy("w").agg(F.bit_or("bits").alias("bits"))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("w", "bits"))), lambda x: x["bits"])
-    return full.agg(ordered.alias("bits")).scalar()
+    return materialize(full.agg(ordered.alias("bits"))).scalar()
 
 
 def contaminated(
@@ -108,26 +110,22 @@ def contaminated(
     them, are shuffled; a bitmap that fills up lets more rows through but loses none.
     """
     spark = documents.sparkSession
-    seeds = _test_seeds(benchmark, item, item_text)
+    seeds = materialize(_test_seeds(benchmark, item, item_text))
     bitmap = _bitmap(spark, seeds)
 
     tokens = documents.select(F.col(doc).alias("doc_id"), token_hashes(F.col(text)).alias("t"))
-    tokens = tokens.filter(F.size("t") >= SHORTEST)
     at = F.col("doc_at")
-    laid = tokens.select("doc_id", "t", F.explode(F.sequence(F.lit(0), F.size("t") - SHORTEST)).alias("doc_at")).select(
-        "doc_id", "t", "doc_at", bitmap.alias("bits"), *[_seed(m, "t", at).alias(f"h{m}") for m in range(len(MASKS))]
-    )
 
     def known(h: Column) -> Column:
-        bit = [F.expr("1L").bitwiseAND(_shifted(F.get(F.col("bits"), w), b)) == 1 for w, b in _bit_places(h)]
-        return bit[0] & bit[1] & bit[2]
+        bits = [F.call_function("shiftrightunsigned", F.get(bitmap, w), b).bitwiseAND(F.lit(1)) for w, b in _bit_places(h)]
+        return (bits[0] + bits[1] + bits[2]) == 3
 
-    passed = [F.when(known(F.col(f"h{m}")), F.col(f"h{m}")) for m in range(len(MASKS))]
     hits = (
-        laid.select("doc_id", "t", "doc_at", *[p.alias(f"h{m}") for m, p in enumerate(passed)])
-        .filter(F.coalesce(*[F.col(f"h{m}") for m in range(len(MASKS))]).isNotNull())
-        .select("doc_id", "doc_at", _context("t", at).alias("doc_context"), F.explode(F.array(*[F.col(f"h{m}") for m in range(len(MASKS))])).alias("h"))
-        .filter(F.col("h").isNotNull())
+        tokens.filter(F.size("t") >= SHORTEST)
+        .select("doc_id", "t", F.explode(F.sequence(F.lit(0), F.size("t") - SHORTEST)).alias("doc_at"))
+        .select("doc_id", "t", "doc_at", F.explode(F.array(*[_seed(m, "t", at) for m in range(len(MASKS))])).alias("h"))
+        .filter(F.col("h").isNotNull() & known(F.col("h")))
+        .select("doc_id", "doc_at", "h", _context("t", at).alias("doc_context"))
     )
 
     equal = F.zip_with(
@@ -156,10 +154,6 @@ def contaminated(
     )
 
 
-def _shifted(word: Column, bits: Column) -> Column:
-    return F.call_function("shiftrightunsigned", word, bits)
-
-
 def decontaminate(documents: DataFrame, benchmark: DataFrame, **columns: str) -> DataFrame:
     """`documents` without those that `contaminated` pairs with any item; all their columns, repeated rows kept.
 
@@ -168,4 +162,4 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, **columns: str) ->
     doc = columns.get("doc", "doc_id")
     dirty = contaminated(documents, benchmark, **columns).select(F.col("doc_id").alias("__dirty")).distinct()
     kept = documents.select(F.struct("*").alias("r"), F.col(doc).alias("__id"))
-    return kept.join(dirty, F.col("__id") == F.col("__dirty"), "left_anti").select("r.*")
+    return kept.join(dirty.hint("merge"), F.col("__id") == F.col("__dirty"), "left_anti").select("r.*")
