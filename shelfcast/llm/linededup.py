@@ -76,7 +76,7 @@ def remove_spread_lines(
     marked = materialize(marked)
     lines = _lines(F.col("t"))
     kept = F.filter(lines, lambda l: ~F.array_contains(F.col("bad"), _hashed(l)) | (_trimmed(l) == ""))
-    cut = rows.join(marked, "k", "left").select("r", "t", "bad", F.when(F.col("bad").isNotNull(), kept).alias("left"))
+    cut = rows.join(marked.hint("merge"), "k", "left").select("r", "t", "bad", F.when(F.col("bad").isNotNull(), kept).alias("left"))
     new = F.array_join("left", "\n")
     change = F.col("bad").isNotNull()
     if max_share is not None:
