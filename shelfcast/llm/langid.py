@@ -19,6 +19,8 @@ LEARN_FROM = 2000
 
 UNKNOWN = "und"
 
+#: Stands for whatever separates words; not 0, so that n-grams of different lengths have different codes.
+_BLANK = 1
 _letters: np.ndarray | None = None
 
 
@@ -33,9 +35,9 @@ def _is_letter() -> np.ndarray:
 def _grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     """Codes of a text's n-grams in ascending order, and their counts; none if it has no letters."""
     points = np.frombuffer((text or "").lower().encode("utf-32-le", "replace"), "<u4").astype(np.int64)
-    points = np.where(_is_letter()[points], points, 0)
-    line = np.r_[0, points, 0]
-    line = line[np.r_[True, (line[1:] != 0) | (line[:-1] != 0)]]  # one blank between words
+    points = np.where(_is_letter()[points], points, _BLANK)
+    line = np.r_[_BLANK, points, _BLANK]
+    line = line[np.r_[True, (line[1:] != _BLANK) | (line[:-1] != _BLANK)]]  # one blank between words
     if len(line) < 3:
         return np.empty(0, np.int64), np.empty(0, np.int64)
     codes, whole = [], np.ones(len(line), bool)
@@ -43,9 +45,9 @@ def _grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     for n in range(1, LONGEST + 1):
         code = code[: len(line) - n + 1] << 21 | line[n - 1 :]
         if n > 2:  # no blank inside
-            whole = whole[: len(code)] & (line[n - 2 : len(line) - 1] != 0)
+            whole = whole[: len(code)] & (line[n - 2 : len(line) - 1] != _BLANK)
         whole = whole[: len(code)]
-        codes.append(code[whole] if n > 1 else code[code != 0])
+        codes.append(code[whole] if n > 1 else code[code != _BLANK])
     return np.unique(np.concatenate(codes), return_counts=True)
 
 
