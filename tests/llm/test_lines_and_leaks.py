@@ -67,7 +67,7 @@ def test_leaks_equal_all_alignments_compared(spark, leaky):
     bench = spark.createDataFrame(items, "item_id long, text string").selectExpr("*", "1 AS h", "2 AS t", "3 AS doc_id")
     found = decontaminate.contaminated(documents(spark, rows), bench)
     want = _leaks(rows, items)
-    assert len(want) > 20 and plain(found.collect()) == plain(want)
+    assert len(want) > 10 and plain(found.collect()) == plain(want)
     kept = decontaminate.decontaminate(documents(spark, rows), bench)
     dirty = {w[0] for w in want}
     assert plain(r[:2] for r in kept.collect()) == plain(r[:2] for r in rows if r[0] is None or r[0] not in dirty)

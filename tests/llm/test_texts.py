@@ -75,14 +75,10 @@ def _gram_list(text):
     return counts
 
 
-def _order(gram):
-    return tuple(0 if c == " " else ord(c) for c in gram)
-
-
 def _code(gram):
     code = 0
     for c in gram:
-        code = code << 21 | (0 if c == " " else ord(c))
+        code = code << 21 | (1 if c == " " else ord(c))
     return code
 
 
