@@ -1,4 +1,4 @@
-"""Driver-side settings. Every field is read by an operator or a plan."""
+"""Driver-side settings; published ones that no operator here needs are kept, so that the published file loads."""
 
 from __future__ import annotations
 
@@ -21,6 +21,8 @@ class SplitConfig:
 class FeatureConfig:
     lags: tuple[int, ...] = tuple(LAGS)
     rolling_windows: tuple[int, ...] = tuple(WINDOWS)
+    enable_hierarchical_features: bool = True
+    enable_demand_pattern_features: bool = True
     history_mode: str = "pooled"
 
 
@@ -44,6 +46,8 @@ class BacktestConfig:
 class RegistryConfig:
     primary_metric: str = "rmse"
     minimum_relative_improvement: float = 0.0
+    required_backtest_folds: int = 1
+    max_slice_rmse_regression: float = 0.10
 
 
 @dataclass(frozen=True)
@@ -62,6 +66,8 @@ class Config:
     backtest: BacktestConfig = field(default_factory=BacktestConfig)
     registry: RegistryConfig = field(default_factory=RegistryConfig)
     monitoring: MonitoringConfig = field(default_factory=MonitoringConfig)
+    forecast_horizon: int = 1
+    random_state: int = 42
 
 
 def _override(node: Any, values: dict[str, Any]) -> Any:
@@ -79,12 +85,29 @@ def _override(node: Any, values: dict[str, Any]) -> Any:
     return replace(node, **changes)
 
 
+def _published(values: dict[str, Any]) -> dict[str, Any]:
+    """The published file's `model` block in the terms of this one: its trees are `boosting`."""
+    values = dict(values)
+    model = dict(values.pop("model", None) or {})
+    unknown = sorted(set(model) - {"forecast_horizon", "random_state", "xgboost"})
+    if unknown:
+        raise ValueError(f"Unknown settings: {unknown}")
+    if "xgboost" in model:
+        names = {"colsample_bytree": "colsample"}
+        trees = {names.get(k, k): v for k, v in (model["xgboost"] or {}).items()}
+        values["boosting"] = trees | (values.get("boosting") or {})
+    for name in ("forecast_horizon", "random_state"):
+        if name in model:
+            values[name] = model[name]
+    return values
+
+
 def load_config(source: str | Path | dict[str, Any] | None = None) -> Config:
     """Defaults, overridden by a mapping or by a JSON (or, where available, YAML) file."""
     if source is None:
         return Config()
     if isinstance(source, dict):
-        return _override(Config(), source)
+        return _override(Config(), _published(source))
     path = Path(source)
     text = path.read_text(encoding="utf-8")
     if path.suffix in (".yaml", ".yml"):
@@ -92,5 +115,5 @@ def load_config(source: str | Path | dict[str, Any] | None = None) -> Config:
             import yaml
         except ImportError as exc:
             raise ValueError("YAML settings need a YAML reader; use JSON instead.") from exc
-        return _override(Config(), yaml.safe_load(text) or {})
-    return _override(Config(), json.loads(text or "{}"))
+        return _override(Config(), _published(yaml.safe_load(text) or {}))
+    return _override(Config(), _published(json.loads(text or "{}")))

@@ -35,7 +35,7 @@ def _require_history(df: DataFrame, needed: int) -> DataFrame:
     return df.withColumn(
         "_folds",
         F.when(
-            days < needed, F.raise_error(F.lit("Not enough history for requested rolling backtest."))
+            days < needed, F.raise_error(F.lit("The table has fewer days than these folds need."))
         ).otherwise(F.col("_folds")),
     )
 

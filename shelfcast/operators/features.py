@@ -33,7 +33,7 @@ def build_features(
     """
     config = config or FeatureConfig()
     lags, windows = list(config.lags), list(config.rolling_windows)
-    patterned = {7, 28} <= set(windows)
+    patterned = config.enable_demand_pattern_features and {7, 28} <= set(windows)
 
     dated = add_date_features(df, holidays)
     per_series = {**lag_windows(lags), **rolling_windows(windows)}
@@ -43,15 +43,16 @@ def build_features(
     featured = dated.withColumns(per_series).withColumns(ordered_past(windows)).withColumns(derived)
     if patterned:
         featured = featured.withColumns(pattern_ratios())
-    featured = add_history_aggregates(
-        featured.drop(*staging_columns(windows)), config.history_mode, panel=df
-    )
+    featured = featured.drop(*staging_columns(windows))
+    historic = config.enable_hierarchical_features
+    if historic:
+        featured = add_history_aggregates(featured, config.history_mode, panel=df)
 
     ordered = featured.select(
         *dated.columns,
         *lag_windows(lags),
         *derived,
-        *HISTORY_COLUMNS,
+        *(HISTORY_COLUMNS if historic else []),
         *(PATTERN_COLUMNS if patterned else []),
     )
     return complete_cases(ordered) if drop_missing else ordered

@@ -160,7 +160,7 @@ def promote_candidate(
     chosen = latest_candidate(candidates) if version is None else candidates.where(F.col("version") == version)
     if chosen.isEmpty():
         raise ValueError(
-            "No registered candidates." if version is None else f"Candidate version {version} not found."
+            "An empty registry has nothing to promote." if version is None else f"The registry has no version {version}."
         )
     decided = promotion_decision(chosen, active_model(candidates, decisions), metric, min_improvement)
     return decided.withColumn("decided_at", F.current_timestamp())

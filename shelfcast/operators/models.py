@@ -128,7 +128,7 @@ def histogram_boosting(columns: Sequence[str], iterations: int = HISTOGRAM_ITERA
     return Pipeline(stages=[*preprocessor(columns), model])
 
 
-def random_forest(columns: Sequence[str], trees: int = FOREST_TREES, max_depth: int = 20) -> Pipeline:
+def random_forest(columns: Sequence[str], trees: int = FOREST_TREES, max_depth: int = 30) -> Pipeline:
     model = RandomForestRegressor(
         labelCol=SALES,
         numTrees=trees,

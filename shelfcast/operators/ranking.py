@@ -1,8 +1,8 @@
 """Running totals and exact quantiles over groups of any size.
 
-A plain ordered window puts a whole group into one task. Here the order axis is cut into blocks
-at sampled values, so a hot group is spread over many tasks: block totals are summed first, their
-running totals are tiny, and only the inside of a block is sorted in one task.
+A plain ordered window puts a whole group into one task. Here the rows are dealt by ranges of group and order, so a hot
+group is spread over many tasks, and stored with the number of their range. The totals of the ranges are tiny and are
+summed first; only the inside of a range is sorted in one task.
 """
 
 from __future__ import annotations
@@ -11,107 +11,57 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfcast.session import materialize
 
-BLOCK_ROWS = 100_000
-MAX_CUTS = 4095
-CUTS_PER_GROUP = 64
+#: Real values are added as decimals of so many places: their sums are exact, so that the layout cannot show in them.
+EXACT = T.DecimalType(28, 10)
 
 
 def _partition(columns: Sequence[str | Column]):
     return Window.partitionBy(*columns) if columns else Window.partitionBy(F.lit(0))
 
 
-def _cut_points(rows: DataFrame, keys: Sequence[str], order: str, cuts: int) -> Column:
-    """Scalar array of arrays: sorted cut points in chunks, each chunk led by its first cut.
-
-    The rows with the smallest hashes are a uniform sample that is the same on every attempt and
-    follows the data's own skew.
-    """
-    chunks = (
-        f"transform(sequence(0, greatest(0, ceil(size(cuts) / {CUTS_PER_GROUP}) - 1)),"
-        f" i -> slice(cuts, int(i * {CUTS_PER_GROUP} + 1), {CUTS_PER_GROUP}))"
-    )
-    return (
-        rows.select(F.xxhash64(*keys).alias("_h"), F.col(order).alias("_at"))
-        .orderBy("_h", "_at")
-        .limit(cuts)
-        .agg(F.array_sort(F.collect_set("_at")).alias("cuts"))
-        .select(F.expr(chunks))
-        .scalar()
-    )
-
-
-def _block_of(chunks: str, value: str) -> Column:
-    """Position among the cuts, by chunk first and then inside the chunk."""
-    return F.expr(
-        f"""
-        CASE WHEN size({chunks}[0]) = 0 OR {value} < {chunks}[0][0] THEN 0
-        ELSE (size(filter({chunks}, c -> c[0] <= {value})) - 1) * {CUTS_PER_GROUP}
-             + size(filter({chunks}[size(filter({chunks}, c -> c[0] <= {value})) - 1], c -> c <= {value}))
-        END
-        """
-    )
-
-
 def running_totals(
-    rows: DataFrame,
-    by: Sequence[str],
-    order: str,
-    values: Sequence[str],
-    block_rows: int = BLOCK_ROWS,
-    stored: bool = False,
+    rows: DataFrame, by: Sequence[str], order: str, values: Sequence[str], ranges: int | None = None
 ) -> DataFrame:
     """Add, for each value ``v``, ``v_before`` (sum over earlier rows of the group) and ``v_total``.
 
-    ``rows`` holds one row per (by, order); a null key has no place in the order and is left out.
-    It is computed once (unless ``stored`` already) and counted: up to ``block_rows`` rows a plain
-    window is enough, beyond that the order is cut into blocks of about that size. Blocks only
-    steer the layout, never the result.
+    ``rows`` holds one row per (by, order); a null key has no place in the order and is left out. Whole numbers are added
+    as such, real ones to ten decimal places. The rows are computed and stored once, in ``ranges`` ranges of (by, order);
+    by default as many as the session has shuffle partitions, so their number follows what the cluster is set to.
     """
+    real = {f.name for f in rows.schema if f.name in values and isinstance(f.dataType, (T.DoubleType, T.FloatType))}
     keys = [*by, order]
     rows = rows.dropna(subset=keys)
-    rows = rows if stored else materialize(rows)
-    size = rows.count()
-    group = _partition(by)
-    past = (Window.unboundedPreceding, -1)
-    if size <= block_rows:
-        earlier = group.orderBy(order).rowsBetween(*past)
-        return rows.withColumns(
-            {
-                **{f"{v}_before": F.coalesce(F.sum(v).over(earlier), F.lit(0)) for v in values},
-                **{f"{v}_total": F.sum(v).over(group) for v in values},
-            }
-        )
-
-    cuts = _cut_points(rows, keys, order, min(MAX_CUTS, size // block_rows))
-    blocked = (
-        rows.withColumn("_cuts", cuts)
-        .withColumn("_block", F.coalesce(_block_of("_cuts", f"`{order}`"), F.lit(0)))
-        .drop("_cuts")
+    dealt = rows.repartitionByRange(ranges, *keys) if ranges else rows.repartitionByRange(*keys)
+    stored = materialize(dealt.withColumn("_range", F.spark_partition_id()))
+
+    def exact(v: str) -> Column:
+        return F.col(v).cast(EXACT) if v in real else F.col(v)
+
+    def shown(v: str, total: Column) -> Column:
+        return total.cast("double") if v in real else total
+
+    group, past = _partition(by), (Window.unboundedPreceding, -1)
+    earlier = group.orderBy("_range").rowsBetween(*past)
+    totals = stored.groupBy(*by, "_range").agg(*[F.sum(exact(v)).alias(f"_{v}") for v in values])
+    bases = totals.select(
+        *by,
+        "_range",
+        *[F.coalesce(F.sum(f"_{v}").over(earlier), F.lit(0)).alias(f"_{v}_base") for v in values],
+        *[shown(v, F.sum(f"_{v}").over(group)).alias(f"{v}_total") for v in values],
     )
-    earlier = group.orderBy("_block").rowsBetween(*past)
-    bases = (
-        blocked.groupBy(*by, "_block")
-        .agg(*[F.sum(v).alias(f"_{v}") for v in values])
-        .select(
-            *by,
-            "_block",
-            *[F.coalesce(F.sum(f"_{v}").over(earlier), F.lit(0)).alias(f"_{v}_base") for v in values],
-            *[F.sum(f"_{v}").over(group).alias(f"{v}_total") for v in values],
-        )
-    )
-    inside = _partition([*by, "_block"]).orderBy(order).rowsBetween(*past)
+    inside = _partition([*by, "_range"]).orderBy(order).rowsBetween(*past)
+
+    def before(v: str) -> Column:
+        return shown(v, F.col(f"_{v}_base") + F.coalesce(F.sum(exact(v)).over(inside), F.lit(0)))
+
     return (
-        blocked.join(bases, [*by, "_block"])
-        .withColumns(
-            {
-                f"{v}_before": F.col(f"_{v}_base") + F.coalesce(F.sum(v).over(inside), F.lit(0))
-                for v in values
-            }
-        )
-        .drop("_block", *[f"_{v}_base" for v in values])
+        stored.join(bases, [*by, "_range"])
+        .withColumns({f"{v}_before": before(v) for v in values})
+        .drop("_range", *[f"_{v}_base" for v in values])
     )
 
 
@@ -134,10 +84,9 @@ def quantiles_of_counts(
     value: str,
     probabilities: Sequence[float],
     by: Sequence[str] = (),
-    stored: bool = False,
 ) -> DataFrame:
     """``exact_quantiles`` of a table that already holds one row and a count ``_n`` per value."""
-    ranked = running_totals(counts, by, value, ["_n"], stored=stored)
+    ranked = running_totals(counts, by, value, ["_n"])
     exact = [f"((_n_total - 1) * {float(p)!r}D)" for p in probabilities]
     # A position that is whole but for rounding error is whole.
     positions = [

@@ -445,7 +445,7 @@ def _importance(spark, sf):
 def _native_importance(spark, sf):
     train, validation, _ = _feature_parts(spark, sf)
     fitted = models.fit(models.boosted_trees(feature_columns(train), QUERY_BOOSTING), train)
-    return importance.native_importance(fitted, fitted.transform(validation), top_n=20)
+    return importance.native_importance(fitted, fitted.transform(validation))
 
 
 # ---- lifecycle ----------------------------------------------------------------------------------

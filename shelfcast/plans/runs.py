@@ -19,16 +19,19 @@ from shelfcast.operators.normalize import normalize_schema, require_split, chron
 from shelfcast.operators.quality import quality_report, raise_for_errors
 from shelfcast.operators.state import feature_state
 from shelfcast.schema import DATE, SALES, feature_columns
+from shelfcast.session import materialize
 from shelfcast.sources import tables
 
 
 def prepare(spark: SparkSession, raw: DataFrame, out: str, config: Config | None = None) -> DataFrame:
     """Clean panel, metadata, feature table and state, all written; returns the feature table."""
     config = config or Config()
+    # Nothing is published before the gate: a bad delivery leaves the last good panel as it is.
+    staged = materialize(normalize_schema(raw))
+    raise_for_errors(quality_report(staged, require_daily_continuity=True))
     tables.write_document(dataset_metadata(raw), f"{out}/metadata")
-    tables.write_table(normalize_schema(raw), f"{out}/clean")
+    tables.write_table(staged, f"{out}/clean")
     clean = tables.read_table(spark, f"{out}/clean")
-    raise_for_errors(quality_report(clean, require_daily_continuity=True))
     tables.write_document(sales_summary(clean), f"{out}/summary")
     built = features.build_features(clean, config=config.features)
     tables.write_table(tables.with_month(built), f"{out}/features", partition_by=["sales_month"])

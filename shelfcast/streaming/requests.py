@@ -15,6 +15,7 @@ from shelfcast.operators.forecast import score_requests
 from shelfcast.operators.normalize import normalize_schema
 from shelfcast.operators.state import feature_state
 from shelfcast.schema import DATE, SERIES
+from shelfcast.session import materialize
 from shelfcast.sources import tables
 
 REQUEST_SCHEMA = "store string, item string, forecast_date date"
@@ -49,9 +50,14 @@ def score_request_stream(
 def refresh_state(spark: SparkSession, clean_path: str, new_raw: DataFrame, state_path: str) -> None:
     """Append the new days to the clean panel and rebuild the state from it.
 
-    Days that are already stored are kept as they are, so a repeated delivery changes nothing.
+    Days that are already stored are kept as they are, so a repeated delivery changes nothing. Rows that a delivery
+    repeats count once; one that gives a key two values is refused before anything is written.
     """
     stored = tables.read_table(spark, clean_path)
-    fresh = normalize_schema(new_raw).join(stored.select(DATE, *SERIES), [DATE, *SERIES], "left_anti")
+    delivered = materialize(normalize_schema(new_raw).distinct())
+    twice = delivered.groupBy(DATE, *SERIES).count().where("count > 1")
+    if not twice.isEmpty():
+        raise ValueError(f"The delivery has several values for a key, first {twice.first().asDict()}.")
+    fresh = delivered.join(stored.select(DATE, *SERIES), [DATE, *SERIES], "left_anti")
     tables.write_table(fresh.select(*stored.columns), clean_path, mode="append")
     tables.write_state(feature_state(tables.read_table(spark, clean_path)), state_path)

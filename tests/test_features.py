@@ -109,20 +109,31 @@ def test_published_row_counts(daily):
     assert {f["rows"] for f in folds} == {14_000}
 
 
-def test_blocks_do_not_change_the_totals(spark):
-    """A third of all rows in one group, blocks of 40 rows against one plain window."""
+def _totals(rows, ranges):
+    columns = ["g", "o", "v", "v_before", "v_total"]
+    return sorted(ranking.running_totals(rows, ["g"], "o", ["v"], ranges).select(columns).collect())
+
+
+@pytest.mark.parametrize("value", ["id", "double(id) / 7"])
+def test_ranges_do_not_change_the_totals(spark, value):
+    """A third of all rows in one group, whole numbers and sevenths: the same bits from 1, 8 and 64 ranges."""
     rows = spark.range(3000).selectExpr(
-        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('g', id % 7) END AS g", "lpad(id * 7919 % 3001, 5, '0') AS o", "id AS v"
+        "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('g', id % 7) END AS g",
+        "lpad(id * 7919 % 3001, 5, '0') AS o",
+        f"{value} AS v",
     )
-    plain = ranking.running_totals(rows, ["g"], "o", ["v"])
-    cut = ranking.running_totals(rows, ["g"], "o", ["v"], block_rows=40)
-    columns = ["g", "o", "v", "v_before", "v_total"]
-    assert sorted(plain.select(columns).collect()) == sorted(cut.select(columns).collect())
+    one = _totals(rows, 1)
+    assert one == _totals(rows, 64) == _totals(rows, 8)
+    expected, running = {}, {}
+    for r in sorted(rows.collect(), key=lambda r: (r.g, r.o)):
+        expected[r.g, r.o] = running.get(r.g, 0)
+        running[r.g] = running.get(r.g, 0) + r.v
+    assert all(abs(r.v_before - expected[r.g, r.o]) < 1e-6 and abs(r.v_total - running[r.g]) < 1e-6 for r in one)
 
 
-def test_many_chunks_of_cuts(spark):
+def test_many_ranges_of_one_group(spark):
     rows = spark.range(4000).selectExpr("'a' AS g", "double(id * 37 % 4001) AS o", "1L AS v")
-    cut = ranking.running_totals(rows, ["g"], "o", ["v"], block_rows=10)
+    cut = ranking.running_totals(rows, ["g"], "o", ["v"], ranges=400)
     ordered = [r["v_before"] for r in cut.orderBy("o").select("v_before").collect()]
     assert ordered == list(range(4000))
 
@@ -133,15 +144,11 @@ def test_quantiles_interpolate(spark):
     assert found == {"a": [1.0, 2.0, 4.0, 10.0], "b": [5.0] * 4}
 
 
-def test_pooled_history_with_blocks_equals_plain(daily, monkeypatch):
-    panel = daily(3, 9, 30, sales="(s * 5 + i * 3 + d) % 11")
+def test_pooled_history_does_not_depend_on_ranges(daily, monkeypatch):
+    panel = daily(3, 9, 30, sales="(s * 5 + i * 3 + d) % 11 / 7")
     plain = sorted(map(str, history.add_history_aggregates(panel).collect()))
-    cut = ranking.running_totals
-
-    def small_blocks(rows, by, order, values, block_rows=25):
-        return cut(rows, by, order, values, block_rows)
-
-    monkeypatch.setattr(history, "running_totals", small_blocks)
+    totals = ranking.running_totals
+    monkeypatch.setattr(history, "running_totals", lambda *args: totals(*args, ranges=13))
     assert sorted(map(str, history.add_history_aggregates(panel).collect())) == plain
 
 

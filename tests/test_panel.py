@@ -5,8 +5,8 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from shelfcast.config import load_config
-from shelfcast.operators import eda, normalize, quality
+from shelfcast.config import FeatureConfig, load_config
+from shelfcast.operators import eda, features, normalize, quality
 from shelfcast.sources import tables
 
 
@@ -54,7 +54,7 @@ def test_split_is_chronological(daily):
 
 
 def test_empty_split_fails(daily):
-    with pytest.raises(ValueError, match="empty partition"):
+    with pytest.raises(ValueError, match="without rows"):
         normalize.require_split(normalize.chronological_split(daily(1, 1, 8), 5, 5))
 
 
@@ -129,6 +129,42 @@ def test_config_overrides(tmp_path):
         load_config({"data": {"days": 1}})
 
 
+def test_published_settings_load(tmp_path):
+    """The published file's keys and values, which are the defaults."""
+    published = {
+        "data": {"validation_days": 90, "test_days": 90},
+        "features": {
+            "lags": [1, 7, 14, 28, 56], "rolling_windows": [7, 14, 28, 56],
+            "enable_hierarchical_features": True, "enable_demand_pattern_features": True,
+        },
+        "model": {
+            "forecast_horizon": 1, "random_state": 42,
+            "xgboost": {"n_estimators": 250, "max_depth": 6, "learning_rate": 0.05, "subsample": 0.9, "colsample_bytree": 0.9},
+        },
+        "backtest": {"folds": 3, "horizon_days": 28, "step_days": 28},
+        "registry": {
+            "primary_metric": "rmse", "minimum_relative_improvement": 0.0, "required_backtest_folds": 1,
+            "max_slice_rmse_regression": 0.10,
+        },
+        "monitoring": {
+            "psi_threshold": 0.20, "mean_shift_threshold": 2.0, "missing_rate_shift_threshold": 0.05,
+            "new_category_rate_threshold": 0.01,
+        },
+    }
+    assert load_config(published) == load_config()
+    published["model"]["xgboost"]["colsample_bytree"] = 0.5
+    assert load_config(published).boosting.colsample == 0.5
+    with pytest.raises(ValueError, match="Unknown"):
+        load_config({"model": {"trees": 1}})
+
+
+def test_feature_families_can_be_left_out(daily):
+    plain = features.build_features(daily(1, 1, 70), config=FeatureConfig(enable_hierarchical_features=False))
+    assert "store_historical_mean" not in plain.columns and "sales_momentum_7_28" in plain.columns
+    bare = features.build_features(daily(1, 1, 70), config=FeatureConfig(enable_demand_pattern_features=False))
+    assert "store_historical_mean" in bare.columns and "sales_momentum_7_28" not in bare.columns
+
+
 def test_split_bounds(daily):
     row = normalize.split_bounds(daily(1, 1, 30), 5, 5).first()
     assert row["test_start"] == dt.date(2024, 1, 26) and row["validation_start"] == dt.date(2024, 1, 21)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfcast.config import load_config
+from shelfcast.operators.normalize import normalize_schema
 from shelfcast.plans import catalog, runs
 from shelfcast.sources import tables
 from shelfcast.streaming.requests import refresh_state, score_request_stream
@@ -52,6 +53,28 @@ def test_forecast_drift_and_backtest(spark, trained):
     assert shown["active_model"].count() == 1 and shown["importance"].count() <= 20
 
 
+def test_a_bad_delivery_leaves_the_panel(spark, trained):
+    out, _ = trained
+    before = tables.table_fingerprint(tables.read_table(spark, f"{out}/clean")).collect()
+    bad = spark.createDataFrame([("2024-01-01", "1", "1", "5"), ("2024-01-01", "1", "1", "-6")], "Date string, Store string, Product string, Units string")
+    with pytest.raises(ValueError, match="duplicate_keys"):
+        runs.prepare(spark, bad, out, CONFIG)
+    assert tables.table_fingerprint(tables.read_table(spark, f"{out}/clean")).collect() == before
+
+
+def test_a_delivery_that_repeats_a_key(spark, tmp_path):
+    clean, state_path = str(tmp_path / "clean"), str(tmp_path / "state")
+    columns = "date string, store string, item string, sales string"
+    old = spark.createDataFrame([("2024-01-01", "1", "1", "5")], columns)
+    tables.write_table(normalize_schema(old), clean)
+    thrice = spark.createDataFrame([("2024-01-02", "1", "1", "7")] * 3, columns)
+    refresh_state(spark, clean, thrice, state_path)
+    assert tables.read_table(spark, clean).count() == 2
+    with pytest.raises(ValueError, match="several values"):
+        refresh_state(spark, clean, thrice.unionByName(thrice.withColumn("sales", F.lit("8"))).withColumn("date", F.lit("2024-01-03")), state_path)
+    assert tables.read_table(spark, clean).count() == 2
+
+
 def test_request_stream(spark, trained, tmp_path):
     out, _ = trained
     asked = spark.createDataFrame([("1", "1", "2024-06-01"), ("9", "9", "2024-06-01")], "store string, item string, forecast_date string")
