@@ -8,7 +8,7 @@ probed by its value and every value within t bits; what meets there is verified
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import accumulate, combinations
 from math import comb
 
@@ -27,8 +27,11 @@ SEED = 42
 ESTIMATED_FROM = 4096
 #: Cost of a shuffled probe in units of one compared pair.
 PROBE_COST = 100.0
-#: Members of a bucket up to which all its pairs are compared at once.
-SMALL_BUCKET = 48
+#: Members of a bucket up to which neighbours in a row are compared, and up to which all pairs are held at once.
+SMALL_BUCKET = 24
+MIDDLE_BUCKET = 2048
+#: Links per member beyond which a bucket is dense, and only what holds it together is returned.
+DENSE = 8
 
 
 def _fingerprint(text: bytes | None, width: int) -> bytes:
@@ -165,8 +168,17 @@ def _spanning(fps: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarr
                 yield np.full(len(new), fps[at]), fps[new]
 
 
-def _links_of(bucket: np.ndarray, fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+def _pairs(fps: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray] | None:
+    """All links of a middle-sized bucket; None if it is larger or dense."""
+    if len(fps) > MIDDLE_BUCKET:
+        return None
+    a, b = np.nonzero(np.triu(np.bitwise_count(fps[:, None] ^ fps) <= bits, 1))
+    return (fps[a], fps[b]) if len(a) <= DENSE * len(fps) else None
+
+
+def _links_of(bucket: np.ndarray, fps: np.ndarray, radii: Sequence[int]) -> tuple[np.ndarray, np.ndarray]:
     """Links within each run of equal `bucket`, runs one after the other."""
+    bits = radii[-1]
     starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
     sizes = np.diff(np.r_[starts, len(bucket)])
     found = [(np.empty(0, np.uint64), np.empty(0, np.uint64))]
@@ -179,16 +191,20 @@ def _links_of(bucket: np.ndarray, fps: np.ndarray, bits: int) -> tuple[np.ndarra
         near = same[np.bitwise_count(f[same] ^ f[same + step]) <= bits]
         found.append((f[near], f[near + step]))
     for start, size in zip(starts[sizes > SMALL_BUCKET], sizes[sizes > SMALL_BUCKET]):
-        found.extend(_spanning(np.unique(fps[start : start + size]), bits))
+        members = np.unique(fps[start : start + size])
+        pairs = _pairs(members, bits)
+        found.extend([pairs] if pairs else [forest for r in radii for forest in _spanning(members, r)])
     return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
 
 
-def links(prints: DataFrame, bits: int = 3) -> DataFrame:
+def links(prints: DataFrame, bits: int = 3, every_radius: bool = False) -> DataFrame:
     """(a, b) links between distinct fingerprints `fp` that differ in at most `bits` bits.
 
-    All links between members of small buckets; of a large bucket as many as hold together what its links hold
-    together. Two fingerprints within `bits` are always joined by a chain of the links returned.
+    All links between members of small buckets; of a large or dense bucket as many as hold together what its links hold
+    together, with `every_radius` for every number of bits up to `bits`. Two fingerprints within `bits` are always
+    joined by a chain of the links returned.
     """
+    radii = range(1, bits + 1) if every_radius and bits else [bits]
     n, together = _bit_counts(prints)
     sample = prints.select("fp").orderBy(F.xxhash64("fp")).limit(ESTIMATED_FROM).collect()
     parts = plan_parts(np.array([r.fp for r in sample], np.int64).view(np.uint64), n, together, bits) if sample else []
@@ -227,7 +243,7 @@ def links(prints: DataFrame, bits: int = 3) -> DataFrame:
         bucket = np.cumsum(np.r_[0, (part[1:] != part[:-1]) | (key[1:] != key[:-1])])
         used = np.bincount(bucket, home)[bucket] > 0  # probes that meet nobody's own value
         if used.any():
-            a, b = _links_of(bucket[used], fp[used], bits)
+            a, b = _links_of(bucket[used], fp[used], radii)
             yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
 
     probes = prints.select("fp").mapInArrow(probe, "part int, key long, fp long, home boolean")
@@ -235,8 +251,35 @@ def links(prints: DataFrame, bits: int = 3) -> DataFrame:
     return dealt.mapInArrow(meet, "a long, b long")
 
 
+def _similar(documents: DataFrame, prints: DataFrame, found: DataFrame, width: int, least: float) -> DataFrame:
+    """The links whose texts share `least` of their distinct shingles of `width` words, by Jaccard similarity.
+
+    A fingerprint stands for the text of its smallest id. Only linked texts are read beyond the join that finds them.
+    """
+    ends = found.select(F.col("a").alias("fp")).unionByName(found.select(F.col("b").alias("fp"))).distinct()
+    owners = prints.join(ends, "fp", "left_semi").select(F.col("least").alias("doc_id"), "fp")
+    owned = documents.join(materialize(owners).hint("merge"), "doc_id").select("fp", "text")
+
+    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = []
+            for text in batch.column(1).cast(pa.binary()).to_pylist():
+                words = (text or b"").lower().split()
+                starts = range(max(len(words) - width + 1, min(len(words), 1)))
+                hashes = {xxhash.xxh64_digest(b" ".join(words[i : i + width]), SEED) for i in starts}
+                sets.append(np.frombuffer(b"".join(hashes), np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["fp", "s"])
+
+    sets = materialize(owned.mapInArrow(shingle, "fp long, s array<long>").dropDuplicates(["fp"]))
+    left, right = sets.select(F.col("fp").alias("a"), F.col("s").alias("x")), sets.select(F.col("fp").alias("b"), F.col("s").alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    either = F.size("x") + F.size("y") - both
+    return found.distinct().join(left, "a").join(right, "b").filter(both >= least * either).select("a", "b")
+
+
 def near_duplicates(
-    documents: DataFrame, doc: str = "doc_id", text: str = "text", width: int = 3, bits: int = 3
+    documents: DataFrame, doc: str = "doc_id", text: str = "text", width: int = 3, bits: int = 3,
+    verify: tuple[int, float] | None = None,
 ) -> DataFrame:
     """(doc_id, fp, component_id) for every row of `documents`.
 
@@ -247,10 +290,18 @@ def near_duplicates(
     a null id. Repeated rows are rows like any other.
 
     Equal fingerprints are one node, so copies cost one aggregated row, and all tables between are stored.
+
+    With `verify`, a width and a similarity, a link also needs that share of common shingles of that many words (Jaccard,
+    exact): fingerprints are then only where to look, and more `bits` find more. Of very dense groups the links of a
+    spanning forest for every number of bits are verified, not all pairs; null ids are then not linked to others.
     """
     rows = materialize(fingerprints(documents, doc, text, width))
     prints = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    linked = materialize(components(materialize(links(prints, bits))))
+    found = materialize(links(prints, bits, every_radius=verify is not None))
+    if verify:
+        texts = documents.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
+        found = materialize(_similar(texts, prints, found, *verify))
+    linked = materialize(components(found))
     named = prints.join(linked, prints["fp"] == linked["node"]).select("fp", "least", "root")
     named = materialize(named)
     smallest = materialize(named.groupBy("root").agg(F.min("least").alias("component_id")))

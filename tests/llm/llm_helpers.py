@@ -117,6 +117,29 @@ def near_duplicates(rows, bits=3):
     return [(i, format(prints[k], "016x"), least.get(root[k])) for k, (i, *_) in enumerate(rows)]
 
 
+def shingles(text, width):
+    w = (text or "").encode().lower().split()
+    return {b" ".join(w[j : j + width]) for j in range(max(len(w) - width + 1, min(len(w), 1)))}
+
+
+def similar_groups(rows, bits, width, least):
+    """(doc_id, smallest id) of groups joined by fingerprints within `bits` and shared shingles."""
+    prints = [fingerprint(text) for _, text, *_ in rows]
+    sets = [shingles(text, width) for _, text, *_ in rows]
+
+    def linked(a, b):
+        if prints[a] == prints[b]:
+            return True
+        both = len(sets[a] & sets[b])
+        return (prints[a] ^ prints[b]).bit_count() <= bits and both >= least * (len(sets[a]) + len(sets[b]) - both)
+
+    root = groups(range(len(rows)), [(a, b) for a in range(len(rows)) for b in range(a) if linked(a, b)])
+    group_least = {}
+    for k, (i, *_) in enumerate(rows):
+        group_least[root[k]] = min(group_least.get(root[k], i), i)
+    return [(i, group_least[root[k]]) for k, (i, *_) in enumerate(rows)]
+
+
 def sha256(text):
     return hashlib.sha256(text.encode()).hexdigest()
 

@@ -42,7 +42,7 @@ def test_stages_equal_plain_python(spark, sf_dir):
             cut = {i: new for i, new, _, _ in _cut(rows, 8, corpus_pipeline.MOST_BOILERPLATE)}
             assert plain(after) == plain((i, cut[i], lang, s, len(cut[i]) if cut[i] != t else n) for i, t, lang, s, n in before)
         if name == "near_duplicates":
-            groups = {i: c for i, _, c in plain_python.near_duplicates(before)}
+            groups = dict(plain_python.similar_groups(before, corpus_pipeline.LOOK_WITHIN, 5, 0.8))
             assert plain(after) == plain(r for r in before if groups[r[0]] == r[0])
         if name == "decontamination":
             dirty = {d for d, *_ in _leaks(before, items)}
