@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,9 +57,9 @@ def report(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*shown)
 
 
-def _stored_panel(spark, sf):
+def _stored_panel(spark, sf, panel=panels.sales_sparse):
     """The panel as the operators with several passes expect it: written once, then read."""
-    return materialize(panels.sales_sparse(spark, sf))
+    return materialize(panel(spark, sf))
 
 
 # ---- intake and quality -------------------------------------------------------------------------
@@ -144,16 +145,16 @@ def _holidays(spark, sf):
     return dated.select(DATE, *SERIES, "is_us_holiday", "days_to_nearest_us_holiday")
 
 
-def _lags(spark, sf):
-    return lag.add_lag_features(panels.sales_sparse(spark, sf))
+def _lags(spark, sf, panel=panels.sales_sparse):
+    return lag.add_lag_features(panel(spark, sf))
 
 
 def _horizon(spark, sf):
     return lag.add_horizon_target(panels.sales_sparse(spark, sf), 7)
 
 
-def _rolling(spark, sf):
-    rolled = rolling.add_rolling_features(panels.sales_sparse(spark, sf))
+def _rolling(spark, sf, panel=panels.sales_sparse):
+    rolled = rolling.add_rolling_features(panel(spark, sf))
     return rolled.drop("sales_rolling_median_7", "sales_rolling_median_28")
 
 
@@ -162,8 +163,8 @@ def _rolling_median(spark, sf):
     return rolled.select(DATE, *SERIES, "sales_rolling_median_7", "sales_rolling_median_28")
 
 
-def _history(spark, sf):
-    return history.add_history_aggregates(_stored_panel(spark, sf))
+def _history(spark, sf, panel=panels.sales_sparse):
+    return history.add_history_aggregates(_stored_panel(spark, sf, panel))
 
 
 def _history_chrono(spark, sf):
@@ -175,8 +176,8 @@ def _patterns(spark, sf):
     return rolling.add_demand_pattern_features(rolled).select(DATE, *SERIES, *rolling.PATTERN_COLUMNS)
 
 
-def _features(spark, sf):
-    return features.build_features(_stored_panel(spark, sf), drop_missing=False)
+def _features(spark, sf, panel=panels.sales_sparse):
+    return features.build_features(_stored_panel(spark, sf, panel), drop_missing=False)
 
 
 def _features_complete(spark, sf):
@@ -298,8 +299,8 @@ def _drift_status(spark, sf):
     return drift.drift_status(_drift_findings(spark, sf))
 
 
-def _drift_split(spark, sf):
-    return drift.split_reference_current(_stored_panel(spark, sf), by="position")
+def _drift_split(spark, sf, panel=panels.sales_sparse):
+    return drift.split_reference_current(_stored_panel(spark, sf, panel), by="position")
 
 
 def _drift_split_date(spark, sf):
@@ -309,8 +310,8 @@ def _drift_split_date(spark, sf):
 # ---- state and forecasts ------------------------------------------------------------------------
 
 
-def _feature_state(spark, sf):
-    series = state.feature_state(_stored_panel(spark, sf)).series
+def _feature_state(spark, sf, panel=panels.sales_sparse):
+    series = state.feature_state(_stored_panel(spark, sf, panel)).series
     return series.select(
         *SERIES,
         F.size("history").alias("kept_days"),
@@ -371,8 +372,8 @@ def lag_or_mean(rows: DataFrame) -> DataFrame:
     return rows.withColumn("prediction", (F.col("sales_lag_7") + F.col("sales_rolling_mean_28")) / 2)
 
 
-def _forecast(spark, sf):
-    return forecast.forecast_next_days(state.feature_state(_stored_panel(spark, sf)), lag_or_mean)
+def _forecast(spark, sf, panel=panels.sales_sparse):
+    return forecast.forecast_next_days(state.feature_state(_stored_panel(spark, sf, panel)), lag_or_mean)
 
 
 def _forecast_series(spark, sf):
@@ -565,6 +566,18 @@ QUERIES: dict[str, Query] = {
     "registry_status": _registry_status,
 }
 
+# The same operators over many short series.
+OVER_WIDE = {
+    "lag_features": _lags,
+    "rolling_features": _rolling,
+    "history_means": _history,
+    "build_features": _features,
+    "drift_split": _drift_split,
+    "feature_state": _feature_state,
+    "forecast_next_days": _forecast,
+}
+QUERIES |= {f"wide_{name}": partial(run, panel=panels.sales_wide) for name, run in OVER_WIDE.items()}
+
 
 def registered() -> dict[str, Query]:
     """Every query with comparable output."""

@@ -695,3 +695,13 @@ ORACLE: dict[str, str] = {
           cast((SELECT CASE WHEN max(version) >= 3 THEN 3 END FROM candidates) AS BIGINT) AS production_version
         FROM candidates"""),
 }
+
+_SERIES = "r_name AS store, p_type AS item"
+_WIDE_SERIES = "cast(l_suppkey % 50 AS VARCHAR) AS store, p_brand AS item"
+ORACLE |= {
+    f"wide_{name}": ORACLE[name].replace(_SERIES, _WIDE_SERIES)
+    for name in (
+        "lag_features", "rolling_features", "history_means", "build_features", "drift_split", "feature_state",
+        "forecast_next_days",
+    )
+}
