@@ -65,4 +65,41 @@ FROM documents d LEFT JOIN (
 ) c USING (doc_id)
 """
 
-LLM_ORACLE = {"op2_decontaminate": OP2, "op6_line_spread": OP6}
+# Twenty bits of the digest at a time give four letters.
+OP3 = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+latest AS (SELECT h, max(page_id) AS latest FROM p GROUP BY h)
+SELECT page_id, octet_length(encode(h))::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         ((('0x' || substr(sha1(h), ((i // 4) * 5 + 1)::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31) + 1, 1)), '')
+         AS payload_digest,
+       CASE WHEN page_id = latest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> latest THEN latest END AS refers_to
+FROM p JOIN latest USING (h)
+"""
+
+OP8 = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS t
+  FROM documents
+),
+windows AS (
+  SELECT doc_id, p, array_to_string(t[p:p + 12], ' ') AS g
+  FROM (SELECT doc_id, t, unnest(range(1, len(t) - 11)) AS p FROM w WHERE len(t) >= 13)
+),
+firsts AS (SELECT g, min(doc_id) AS first FROM windows GROUP BY g),
+gone AS (
+  SELECT DISTINCT doc_id, p + k AS place
+  FROM (SELECT doc_id, p FROM windows JOIN firsts USING (g) WHERE first < doc_id), range(0, 13) AS r(k)
+),
+places AS (SELECT doc_id, t, unnest(range(1, len(t) + 1)) AS place FROM w)
+SELECT w.doc_id, len(w.t)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM w LEFT JOIN (
+  SELECT p.doc_id, count(g.place) AS n_removed,
+         string_agg(t[p.place], ' ' ORDER BY p.place) FILTER (g.place IS NULL) AS kept
+  FROM places p LEFT JOIN gone g ON g.doc_id = p.doc_id AND g.place = p.place GROUP BY p.doc_id
+) USING (doc_id)
+"""
+
+LLM_ORACLE = {"op2_decontaminate": OP2, "op3_archives": OP3, "op6_line_spread": OP6, "op8_substrings": OP8}
