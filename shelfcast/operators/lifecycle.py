@@ -120,6 +120,7 @@ def promotion_decision(
         & (F.col("dataset_hash") != "")
         & ~F.col("dataset_hash").eqNullSafe(F.col("_champion_hash"))
     )
+    # The reasons' texts, as published.
     outcomes: list[tuple[Column | None, Column, Column]] = [
         (F.col("_value").isNull(), F.lit(False), F.lit(f"candidate missing metric {metric}")),
         (F.col("_champion").isNull(), F.lit(True), F.lit("no current production champion")),

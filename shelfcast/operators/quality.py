@@ -103,6 +103,7 @@ def quality_report(
         F.datediff(F.max(day), F.min(day)).alias("span"),
     ).withColumn("duplicates", duplicate_keys(df).agg(F.count(F.lit(1))).scalar())
     rules: list[tuple[str, str, Column, Column | str]] = [
+        # Names and texts of the findings, as published.
         ("error", "duplicate_keys", F.col("duplicates") > 0, "Duplicate date/store/item observations found"),
         ("error", "target_missing", F.col("null_sales") > 0, "Sales contains missing values"),
         ("error", "target_non_negative", F.col("negative_sales") > 0, "Sales contains negative values"),
