@@ -25,8 +25,8 @@ from shelfcast.session import materialize
 SEED = 42
 #: Fingerprints that candidate counts are estimated from; they steer the layout, never the result.
 ESTIMATED_FROM = 4096
-#: Cost of a shuffled probe in units of one compared pair.
-PROBE_COST = 100.0
+#: Cost of a probe (made, shuffled, sorted) in units of one compared pair, about as measured.
+PROBE_COST = 300.0
 #: Members of a bucket up to which neighbours in a row are compared, and up to which all pairs are held at once.
 SMALL_BUCKET = 24
 MIDDLE_BUCKET = 2048
