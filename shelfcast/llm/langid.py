@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 PROFILE = 300
 #: Longest n-gram, in letters with one blank before and after each word.
 LONGEST = 3
-#: Documents that a language's profile is learned from at most, those with the smallest hash of their id.
+#: Documents that a language's profile is learned from, about, chosen by their hash; all if there are no more.
 LEARN_FROM = 2000
 
 UNKNOWN = "und"
@@ -61,13 +61,18 @@ def learn_profiles(
 ) -> dict[str, np.ndarray]:
     """The most frequent n-grams of each language, in order of rank.
 
-    Learned from at most `learn_from` documents per language. Rows without language or text teach nothing. A profile
-    has `PROFILE` numbers, so what reaches the driver is bounded by the number of languages.
+    Learned from about `learn_from` documents per language, each taken if its hash falls into the share of them that is
+    needed, so that nothing is shuffled to choose them. Rows without language or text teach nothing. A count and a
+    profile of `PROFILE` numbers per language reach the driver.
     """
     known = labelled.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     rows = known.select(F.col(doc).alias("doc"), F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc"), F.xxhash64("text"))
-    chosen = rows.withColumn("n", F.row_number().over(order)).filter(F.col("n") <= learn_from).select("lang", "text")
+    share = {r.lang: learn_from / r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    if not share:
+        return {}
+    wanted = F.try_element_at(F.create_map(*[F.lit(x) for pair in share.items() for x in pair]), F.col("lang"))
+    place = F.pmod(F.xxhash64("doc", "text"), F.lit(1 << 30)) / (1 << 30)
+    chosen = rows.filter(place < wanted).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
