@@ -18,7 +18,7 @@ from shelfcast.session import materialize
 #: Words of a block, about; the blocks of a shard differ by a word at most.
 BLOCK_WORDS = 64
 #: Documents of a shard, about: its running sum is one task's work.
-SHARD_ROWS = 20_000
+SHARD_ROWS = 2_000
 #: The plan has a row per source on the driver; more sources than this are refused, not cut.
 MOST_SOURCES = 1_000_000
 #: Weights in the order of the sources, starting again after the last; the mix has SHARE of all words, a source at most
