@@ -8,28 +8,32 @@ through them by backward search. Work and shards grow in proportion to the words
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.fmindex import FMIndex
-from shelfcast.llm.rows import plain_words, text_key
+from shelfcast.llm.rows import text_key
 from shelfcast.session import materialize
 
 #: Words of a window, and of the runs that minimisers are chosen from.
 WINDOW = 13
 RUN = 6
+#: Bytes of texts that are hashed at once, unless one text is longer.
+BATCH_BYTES = 2 << 20
 #: Words that one index holds, and that a shard holds about.
 INDEX_WORDS = 1_500_000
 
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9))  # any odd numbers would do
-
-
-def _hashed(text: Column) -> Column:
-    return F.transform(plain_words(text), lambda w: F.xxhash64(w))
+_UNMIX = np.uint64(pow(int(_MIX[0]), -1, 1 << 64))
+#: A number for each byte; fixed by the seed, so that all tasks hash alike.
+_BYTE = np.random.default_rng(13).integers(0, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
+_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -46,6 +50,51 @@ def _fold(words: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     return out
 
 
+def _small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches whose texts (the second column) have `BATCH_BYTES` together at most, or one text."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+        stops = np.cumsum(sizes, dtype=np.int64)
+        at = 0
+        while at < len(batch):
+            until = stops[at] - sizes[at] + BATCH_BYTES
+            stop = max(at + 1, int(np.searchsorted(stops, until, "right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
+def _powers(base: np.uint64, count: int) -> np.ndarray:
+    powers = np.full(count, base, np.uint64)
+    powers[:1] = 1
+    return np.cumprod(powers, dtype=np.uint64)
+
+
+def _hashed(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of a batch of texts, and where each text starts (and the last one ends).
+
+    A word's hash is the polynomial of its bytes' numbers, taken from running sums over the whole batch.
+    """
+    texts = texts.cast(pa.large_binary()).fill_null(b"")
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = texts.buffers()[2]
+    data = np.frombuffer(data, np.uint8)[ends[0] : ends[-1]] if data is not None and ends[-1] > ends[0] else np.empty(0, np.uint8)
+    ends = ends - ends[0]
+    if not len(data):
+        return np.empty(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
+    inside = ~_BLANK[data]
+    before = np.r_[False, inside[:-1]]
+    after = np.r_[inside[1:], False]
+    # A text that ends without a blank ends its last word.
+    before[ends[:-1][ends[:-1] < len(data)]] = False
+    after[ends[1:][ends[1:] > 0] - 1] = False
+    start, last = np.flatnonzero(inside & ~before), np.flatnonzero(inside & ~after)
+    with np.errstate(over="ignore"):
+        sums = np.r_[np.uint64(0), np.cumsum(_BYTE[data] * _powers(_MIX[0], len(data)), dtype=np.uint64)]
+        words = (sums[last + 1] - sums[start]) * _powers(_UNMIX, len(data))[start]
+        words = _mixed(words + (last - start + 1).astype(np.uint64) * _MIX[0])
+    return words, np.searchsorted(start, ends)
+
+
 def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """All words of a batch, and where each document starts (and the last one ends)."""
     lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
@@ -83,10 +132,10 @@ def _stretches(words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _minimisers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(doc_id, words) to the distinct (h, doc_id) of every document."""
-    for batch in batches:
+    """(doc_id, text) to the distinct (h, doc_id) of every document."""
+    for batch in _small(batches):
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        document, _, _, h = _stretches(*_flat(batch.column(1)))
+        document, _, _, h = _stretches(*_hashed(batch.column(1)))
         order = np.lexsort((h, document))
         document, h = document[order], h[order]
         new = np.r_[True, (document[1:] != document[:-1]) | (h[1:] != h[:-1])][: len(h)]
@@ -94,8 +143,8 @@ def _minimisers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _cut(batch: pa.RecordBatch):
-    """Stretches of a batch of (doc_id, words, shared minimisers) whose minimiser other documents have too."""
-    words, bounds = _flat(batch.column(1))
+    """Stretches of a batch of (doc_id, text, shared minimisers) whose minimiser other documents have too."""
+    words, bounds = _hashed(batch.column(1))
     document, start, windows, h = _stretches(words, bounds)
     shared, held = _flat(batch.column(2))
     pairs = np.repeat(np.arange(len(held) - 1), np.diff(held))
@@ -110,7 +159,7 @@ def _cut(batch: pa.RecordBatch):
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(h, stretch, owner, words): the distinct stretches of a batch with the smallest id that has each."""
-    for batch in batches:
+    for batch in _small(batches):
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         words, _, document, start, windows, h, digest = _cut(batch)
         order = np.lexsort((ids[document], digest))
@@ -129,7 +178,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(stretch, doc_id, key, start): where the stretches lie."""
-    for batch in batches:
+    for batch in _small(batches):
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         _, bounds, document, start, _, _, digest = _cut(batch)
         yield pa.RecordBatch.from_arrays(
@@ -202,6 +251,21 @@ def _searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield solved(*held)
 
 
+def _summary(digest: bool):
+    """(doc_id, key, text) to (doc_id, key, n_words, whole): the joined words, or their SHA-256."""
+
+    def summary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = [(t or b"").split() for t in batch.column(2).cast(pa.binary()).to_pylist()]
+            whole = [b" ".join(w) for w in words]
+            if digest:
+                whole = [hashlib.sha256(w).hexdigest() for w in whole]
+            rows = [pa.array([len(w) for w in words], pa.int64()), pa.array([w if digest else w.decode() for w in whole])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *rows], ["doc_id", "key", "n_words", "whole"])
+
+    return summary
+
+
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, key, text, starts) to (doc_id, key, n_removed, kept): the words that no listed window covers."""
     for batch in batches:
@@ -226,14 +290,13 @@ def repeated_windows(owners: DataFrame, documents: DataFrame) -> DataFrame:
     `documents` has (doc_id, key, text) without null ids, `owners` the (doc_id, key) of the smallest document of each
     distinct text; only owners are searched, and only those with a minimiser that another document has.
     """
-    words = documents.select("doc_id", _hashed(F.col("text")).alias("words")).filter(F.size("words") >= WINDOW)
-    chosen = words.mapInArrow(_minimisers, "h long, doc_id long")
+    chosen = documents.select("doc_id", "text").mapInArrow(_minimisers, "h long, doc_id long")
     shared = materialize(chosen.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").select("h"))
     wanted = chosen.join(shared, "h", "left_semi").groupBy("doc_id").agg(F.collect_set("h").alias("shared"))
     wanted = materialize(owners.join(wanted, "doc_id"))
     read = materialize(documents.join(wanted.hint("merge"), ["doc_id", "key"]).select("doc_id", "key", "text", "shared"))
 
-    searched = read.select("doc_id", _hashed(F.col("text")).alias("words"), "shared", "key")
+    searched = read.select("doc_id", "text", "shared", "key")
     size = wanted.agg(F.sum(F.size("shared"))).first()[0] or 0
     shards = 1 + size * (WINDOW + RUN) // INDEX_WORDS
     pieces = searched.mapInArrow(_pieces, "h long, stretch long, owner long, words array<long>")
@@ -267,9 +330,7 @@ def remove_repeats(documents: DataFrame, doc: str = "doc_id", text: str = "text"
     rows = documents.select(
         F.col(doc).cast("long").alias("doc_id"), text_key(F.col(text)).alias("key"), F.col(text).alias("text")
     )
-    words = rows.select("doc_id", "key", plain_words(F.col("text")).alias("words"))
-    whole = shown(F.array_join("words", " "))
-    named = materialize(words.select("doc_id", "key", F.size("words").cast("long").alias("n_words"), whole.alias("whole")))
+    named = materialize(rows.mapInArrow(_summary(digest), "doc_id long, key long, n_words long, whole string"))
     known = named.filter(F.col("doc_id").isNotNull())
     least = materialize(known.groupBy("key").agg(F.min("doc_id").alias("least")))
     owners = least.select(F.col("least").alias("doc_id"), "key")
