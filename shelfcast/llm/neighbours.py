@@ -137,19 +137,19 @@ def nearest(
     sample = distinct.select("v").orderBy(F.xxhash64(F.col("ids")[0])).limit(GROWN_ON).collect()
     forest = grow_forest(_level(np.array([r.v for r in sample]), longest), total, trees, leaf_rows, seed)
     scale = total / len(sample)
-    shared = spark.sparkContext.broadcast(forest)  # its size is bounded by the sample's
 
+    # The forest travels with the functions; its size is bounded by the sample's.
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for some in batches:
             points = _level(np.array(some["v"].tolist()).reshape(len(some), -1), longest) if len(some) else None
-            for t, tree in enumerate(shared.value if len(some) else []):
+            for t, tree in enumerate(forest if len(some) else []):
                 yield some.assign(tree=t, leaf=tree.leaves(points))[["tree", "leaf", "v", "ids"]]
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for some in batches:
             for at in range(0, len(some), 256):
                 part = some.iloc[at : at + 256]
-                found = [search_forest(shared.value, np.r_[np.array(v), 0.0], searched, scale) for v in part["v"]]
+                found = [search_forest(forest, np.r_[np.array(v), 0.0], searched, scale) for v in part["v"]]
                 rows = part.loc[part.index.repeat([len(f) for f in found])]
                 places = np.array([p for f in found for p in f])
                 yield rows.assign(tree=places[:, 0], leaf=places[:, 1])[["tree", "leaf", "query_id", "v"]]
