@@ -1,4 +1,4 @@
-"""Toxicity by a classifier chain of linear models over hashed words."""
+"""Toxicity by a classifier chain of linear models over the words that tell the categories apart."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from typing import NamedTuple
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import HashingTF, UnivariateFeatureSelector, VectorAssembler, VectorSlicer
+from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,9 +18,9 @@ from shelfcast.session import materialize
 FIT_ON = 20_000
 #: Parts that out-of-fold predictions are made for, each by a model of the others.
 FOLDS = 3
-FEATURES = 1 << 18
-#: Hashed words kept for each category, those most dependent on it by the chi-squared test.
+#: Words kept for each category, those most dependent on it by the chi-squared test; and the rows one must be in.
 SELECTED = 150
+LEAST_ROWS = 5
 #: Letters of a word's beginning that count as a feature of their own, for words with changing endings.
 BEGINNING = 5
 ITERATIONS = 40
@@ -34,31 +34,31 @@ def _words(text: Column) -> Column:
     """Lower-cased runs of letters and digits, and the beginnings of the longer ones."""
     words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), _SPLIT), lambda w: w != "")
     begun = F.transform(words, lambda w: F.concat(F.lit("^"), F.substring(w, 1, BEGINNING)))
-    return F.concat(words, begun)
+    return F.array_distinct(F.concat(words, begun))
 
 
 class Chain(NamedTuple):
-    """The hashed words that the models look at, and a model, constant or None for each category in order."""
+    """The words that the models look at, and a model, constant or None for each category in order."""
 
-    words: list[int]
+    words: list[str]
     models: list
 
 
-def _featured(rows: DataFrame) -> DataFrame:
-    """`rows` with `hashed`, the presence of each hashed word of `text`."""
-    hashing = HashingTF(inputCol="words", outputCol="hashed", numFeatures=FEATURES, binary=True)
-    return hashing.transform(rows.withColumn("words", _words(F.col("text")))).drop("words", "text")
+def _seen(rows: DataFrame, words: list[str]) -> DataFrame:
+    """`rows` with `f0`, which of the chosen words are among the `words` of a row."""
+    present = CountVectorizerModel.from_vocabulary(words, inputCol="words", outputCol="f0").setBinary(True)
+    return present.transform(rows).drop("words")
 
 
-def _sliced(rows: DataFrame, words: list[int]) -> DataFrame:
-    """`rows` with `f0`, the chosen of the hashed words."""
-    return VectorSlicer(inputCol="hashed", outputCol="f0", indices=words).transform(rows).drop("hashed")
-
-
-def _dependent(rows: DataFrame, label: str) -> list[int]:
-    chosen = UnivariateFeatureSelector(featuresCol="hashed", labelCol=label, selectionMode="numTopFeatures")
-    chosen = chosen.setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(SELECTED)
-    return list(chosen.fit(rows).selectedFeatures)
+def _dependent(rows: DataFrame, label: str) -> list[str]:
+    """The words of `LEAST_ROWS` rows or more on which the label depends most, by the chi-squared test."""
+    size = rows.agg(F.count("*").alias("all"), F.sum(label).alias("marked")).first()
+    counts = rows.select(F.explode("words").alias("w"), label).groupBy("w").agg(F.count("*").alias("n"), F.sum(label).alias("a"))
+    a, b = F.col("a"), F.col("n") - F.col("a")
+    c, d = size["marked"] - a, (size["all"] - size["marked"]) - b
+    apart = (a * d - b * c) * (a * d - b * c) / ((a + b) * F.greatest(c + d, F.lit(1.0)))
+    chosen = counts.filter(F.col("n") >= LEAST_ROWS).select("w", apart.alias("apart"))
+    return [r.w for r in chosen.orderBy(F.desc("apart"), "w").limit(SELECTED).collect()]
 
 
 def _fit(rows: DataFrame, step: int, label: str) -> LogisticRegressionModel:
@@ -88,7 +88,7 @@ def fit_chain(
 ) -> Chain:
     """One linear model per category, in order.
 
-    All see the presence of the hashed words on which a category depends most; each further one also the probabilities of the categories before it, which in training
+    All see the presence of the words on which a category depends most; each further one also the probabilities of the categories before it, which in training
     come from models that have not seen the document (out of fold). Fitted on at most `fit_on` labelled documents, those
     with the smallest hash of their id. Labels that repeat an id count as 1 if any does; rows with a null label or text
     teach nothing. A category with one class only has no model, and probability 0 or 1.
@@ -100,11 +100,11 @@ def fit_chain(
     texts = documents.select(F.col(doc).alias("id"), F.col(text).alias("text")).filter(F.col("text").isNotNull())
     rows = texts.join(F.broadcast(chosen), F.col("id") == F.col("l_id"))
     rows = rows.withColumn("fold", F.pmod(F.xxhash64("l_id", F.lit("fold")), F.lit(FOLDS))).drop("l_id", "id")
-    rows = materialize(_featured(rows).repartition(8))
+    rows = materialize(rows.withColumn("words", _words(F.col("text"))).drop("text").repartition(8))
     classes_of = [[r[0] for r in rows.select(f"y{i}").distinct().limit(3).collect()] for i in range(len(categories))]
     chosen = [set(_dependent(rows, f"y{i}")) for i, c in enumerate(classes_of) if len(c) > 1]
-    words = sorted(set().union(*chosen)) or [0]
-    rows = materialize(_sliced(rows, words))
+    words = sorted(set().union(*chosen)) or [""]
+    rows = materialize(_seen(rows, words))
     models: list[LogisticRegressionModel | float | None] = []
     for step, classes in enumerate(classes_of):
         y = f"y{step}"
@@ -135,7 +135,7 @@ def score_chain(
     Null and empty texts are scored as texts without words. A category that nothing was learned about is null.
     """
     models = chain.models
-    rows = _sliced(_featured(documents.select(F.col(doc).alias("doc_id"), F.col(text).alias("text"))), chain.words)
+    rows = _seen(documents.select(F.col(doc).alias("doc_id"), _words(F.col(text)).alias("words")), chain.words)
     for step, model in enumerate(models):
         if isinstance(model, LogisticRegressionModel):
             rows = _scored(rows, model, f"c{step}")
