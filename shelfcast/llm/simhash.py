@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.llm.components import components
+from shelfcast.llm.shingles import similar
 from shelfcast.session import materialize
 
 #: Fixed value: the seed of the shingle hash.
@@ -50,17 +51,20 @@ def _fingerprint(text: bytes | None, width: int) -> bytes:
     return np.packbits(2 * ones > len(hashes)).tobytes()
 
 
-def fingerprints(documents: DataFrame, doc: str = "doc_id", text: str = "text", width: int = 3) -> DataFrame:
-    """(doc_id, fp long) for every row; texts without words get 0, null texts too."""
+def fingerprints(
+    documents: DataFrame, doc: str = "doc_id", text: str = "text", width: int = 3, with_text: bool = False
+) -> DataFrame:
+    """(doc_id, fp long), or (doc_id, text, fp), for every row; texts without words get 0, null texts too."""
+    names = ["doc_id", "text", "fp"] if with_text else ["doc_id", "fp"]
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             folded = b"".join([_fingerprint(t, width) for t in batch.column(1).cast(pa.binary()).to_pylist()])
             fp = np.frombuffer(folded, ">u8").astype(np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names) - 1], pa.array(fp)], names)
 
-    rows = documents.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(fold, "doc_id long, fp long")
+    rows = documents.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return rows.mapInArrow(fold, "doc_id long, text string, fp long" if with_text else "doc_id long, fp long")
 
 
 # ---- parts and thresholds -----------------------------------------------------------------------
@@ -251,32 +255,6 @@ def links(prints: DataFrame, bits: int = 3, every_radius: bool = False) -> DataF
     return dealt.mapInArrow(meet, "a long, b long")
 
 
-def _similar(documents: DataFrame, prints: DataFrame, found: DataFrame, width: int, least: float) -> DataFrame:
-    """The links whose texts share `least` of their distinct shingles of `width` words, by Jaccard similarity.
-
-    A fingerprint stands for the text of its smallest id. Only linked texts are read beyond the join that finds them.
-    """
-    ends = found.select(F.col("a").alias("fp")).unionByName(found.select(F.col("b").alias("fp"))).distinct()
-    owners = prints.join(ends, "fp", "left_semi").select(F.col("least").alias("doc_id"), "fp")
-    owned = documents.join(materialize(owners).hint("merge"), "doc_id").select("fp", "text")
-
-    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = []
-            for text in batch.column(1).cast(pa.binary()).to_pylist():
-                words = (text or b"").lower().split()
-                starts = range(max(len(words) - width + 1, min(len(words), 1)))
-                hashes = {xxhash.xxh64_digest(b" ".join(words[i : i + width]), SEED) for i in starts}
-                sets.append(np.frombuffer(b"".join(hashes), np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["fp", "s"])
-
-    sets = materialize(owned.mapInArrow(shingle, "fp long, s array<long>").dropDuplicates(["fp"]))
-    left, right = sets.select(F.col("fp").alias("a"), F.col("s").alias("x")), sets.select(F.col("fp").alias("b"), F.col("s").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    either = F.size("x") + F.size("y") - both
-    return found.distinct().join(left, "a").join(right, "b").filter(both >= least * either).select("a", "b")
-
-
 def near_duplicates(
     documents: DataFrame, doc: str = "doc_id", text: str = "text", width: int = 3, bits: int = 3,
     verify: tuple[int, float] | None = None,
@@ -292,15 +270,15 @@ def near_duplicates(
     Equal fingerprints are one node, so copies cost one aggregated row, and all tables between are stored.
 
     With `verify`, a width and a similarity, a link also needs that share of common shingles of that many words (Jaccard,
-    exact): fingerprints are then only where to look, and more `bits` find more. Of very dense groups the links of a
-    spanning forest for every number of bits are verified, not all pairs; null ids are then not linked to others.
+    exact). Rows are then one node only if their shingles and fingerprints are the same; texts that merely have the same
+    fingerprint are compared like any others, all that are similar enough are linked, and null ids are not linked to others.
     """
+    if verify:
+        prints = materialize(fingerprints(documents, doc, text, width, with_text=True))
+        return similar(documents, doc, text, *verify, prints=prints, bits=bits)
     rows = materialize(fingerprints(documents, doc, text, width))
     prints = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    found = materialize(links(prints, bits, every_radius=verify is not None))
-    if verify:
-        texts = documents.select(F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text"))
-        found = materialize(_similar(texts, prints, found, *verify))
+    found = materialize(links(prints, bits))
     linked = materialize(components(found))
     named = prints.join(linked, prints["fp"] == linked["node"]).select("fp", "least", "root")
     named = materialize(named)

@@ -1,0 +1,51 @@
+"""Near-duplicates against the exact Jaccard similarity of all pairs."""
+
+import random
+
+import pytest
+
+import llm_helpers as plain_python
+from llm_helpers import documents, plain
+from shelfcast.llm import shingles, simhash
+
+
+def exact_groups(rows, width=5, least=0.8, bits=64):
+    """(doc_id, smallest id) by comparing the shingles of all pairs of texts, whatever their fingerprints."""
+    sets = [plain_python.shingles(text, width) for _, text, *_ in rows]
+    prints = [plain_python.fingerprint(text) if bits < 64 else 0 for _, text, *_ in rows]
+
+    def linked(a, b):
+        both = len(sets[a] & sets[b])
+        return both >= least * (len(sets[a]) + len(sets[b]) - both) and (prints[a] ^ prints[b]).bit_count() <= bits
+
+    root = plain_python.groups(range(len(rows)), [(a, b) for a in range(len(rows)) for b in range(a) if linked(a, b)])
+    smallest = {}
+    for k, (i, *_) in enumerate(rows):
+        smallest[root[k]] = min(smallest.get(root[k], i), i)
+    return [(i, smallest[root[k]]) for k, (i, *_) in enumerate(rows)]
+
+
+def prose(rng, n):
+    return [f"w{rng.randrange(5000)}" for _ in range(n)]
+
+
+def dense_family():
+    """One base of 200 words with an own passage of 16 to 24 words in each text: many pairs lie about 0.8."""
+    rng = random.Random(21)
+    base, rows = prose(rng, 200), []
+    for k in range(297):
+        at, own = rng.randrange(190), prose(rng, rng.randint(16, 24))
+        rows.append((k, " ".join(base[:at] + own + base[at:]), None, None))
+    return rows
+
+
+@pytest.mark.parametrize("small, block", [(24, 256), (24, 40), (2, 7)])
+def test_a_dense_family_equals_all_pairs_compared(spark, monkeypatch, small, block):
+    monkeypatch.setattr(shingles, "SMALL_BUCKET", small)
+    monkeypatch.setattr(shingles, "BLOCK", block)
+    rows = dense_family()
+    for bits in (8, 64) if small > 2 else (8,):
+        want = exact_groups(rows, bits=bits)
+        assert 1 < len({c for _, c in want}) < len(rows)
+        found = simhash.near_duplicates(documents(spark, rows), bits=bits, verify=(5, 0.8)).collect()
+        assert plain((r.doc_id, r.component_id) for r in found) == plain(want)
