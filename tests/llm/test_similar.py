@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+import corpus_pipeline
 import llm_helpers as plain_python
 from llm_helpers import documents, plain
 from shelfcast.llm import shingles, simhash
@@ -49,3 +50,31 @@ def test_a_dense_family_equals_all_pairs_compared(spark, monkeypatch, small, blo
         assert 1 < len({c for _, c in want}) < len(rows)
         found = simhash.near_duplicates(documents(spark, rows), bits=bits, verify=(5, 0.8)).collect()
         assert plain((r.doc_id, r.component_id) for r in found) == plain(want)
+
+
+def edited(rng, kind, least, most):
+    """Two texts of about 300 words, the second edited until their similarity lies from `least` to `most`."""
+    base = prose(rng, 300)
+    for n in range(1, 200):
+        if kind == "scattered":
+            other = list(base)
+            for at in rng.sample(range(300), max(1, n // 3)):
+                other[at] = f"new{rng.randrange(10**6)}"
+        elif kind == "block":
+            other = base[:50] + prose(rng, n) + base[50 + n :]
+        else:
+            other = base + prose(rng, n)
+        a, b = (plain_python.shingles(" ".join(x), 5) for x in (base, other))
+        if least <= len(a & b) / len(a | b) <= most:
+            return " ".join(base), " ".join(other)
+    raise AssertionError(kind)
+
+
+def test_all_kinds_of_edits_are_found_at_the_least_similarity(spark):
+    rng, rows = random.Random(5), []
+    for kind in ("scattered", "block", "appended"):
+        for k in range(30):
+            rows += [(len(rows) + j, text, "en", "s", len(text)) for j, text in enumerate(edited(rng, kind, 0.8, 0.86))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in left) == [r[0] for r in rows if r[0] % 2 == 0]
