@@ -128,8 +128,6 @@ def similar_groups(rows, bits, width, least):
     sets = [shingles(text, width) for _, text, *_ in rows]
 
     def linked(a, b):
-        if prints[a] == prints[b]:
-            return True
         both = len(sets[a] & sets[b])
         return (prints[a] ^ prints[b]).bit_count() <= bits and both >= least * (len(sets[a]) + len(sets[b]) - both)
 

@@ -78,3 +78,16 @@ def test_all_kinds_of_edits_are_found_at_the_least_similarity(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     left = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, "").collect()
     assert sorted(r.doc_id for r in left) == [r[0] for r in rows if r[0] % 2 == 0]
+
+
+def test_texts_of_equal_fingerprint_are_compared(spark):
+    rng = random.Random(8)
+    rows = [(k, " ".join(["word"] * 140 + prose(rng, 100)), None, None) for k in range(6)]
+    # A near copy of a text that is not the smallest of its fingerprint.
+    rows.append((10, rows[3][1] + " end", None, None))
+    rows.append((11, rows[4][1].upper(), None, None))
+    assert len({plain_python.fingerprint(t) for _, t, *_ in rows[:6]}) == 1
+    want = exact_groups(rows)
+    assert dict(want) == {0: 0, 1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 10: 3, 11: 4}
+    found = simhash.near_duplicates(documents(spark, rows), bits=8, verify=(5, 0.8)).collect()
+    assert plain((r.doc_id, r.component_id) for r in found) == plain(want)
