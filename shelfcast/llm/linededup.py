@@ -56,23 +56,32 @@ def spread_lines(documents: DataFrame, text: str = "text", site: str = "source",
 
 def remove_spread_lines(
     documents: DataFrame, doc: str = "doc_id", text: str = "text", site: str = "source", sites: int = SITES,
-    max_share: float | None = None,
+    max_share: float | None = None, copies_once: bool = False,
 ) -> DataFrame:
     """(r, kept, n_lines, n_removed): every row of `documents` as the struct `r`, with its text less boilerplate lines.
 
     Lines end at a line feed and are compared without blanks around them; blank lines are never boilerplate, and
     the kept lines stay as they are. Every occurrence of a boilerplate line goes. With `max_share`, a text of which a
     larger share of the characters would go is left whole: it is a copy of another text rather than one that carries
-    boilerplate. A null text stays null with 0 lines; an empty text has none either. Repeated rows are treated alike,
+    boilerplate. With `copies_once`, each distinct text counts for one of its sites only, so that the lines of a text that
+    was copied to many sites are not boilerplate for that reason. A null text stays null with 0 lines; an empty text has none either. Repeated rows are treated alike,
     rows with a null id by their text.
     """
     rows = documents.select(
         F.struct("*").alias("r"), F.col(text).alias("t"), F.xxhash64(F.col(doc), F.col(text)).alias("k")
     )
-    placed = rows.filter(F.col("t").isNotNull()).select("k", F.explode(_lines(F.col("t"))).alias("l"))
-    placed = placed.filter(_trimmed(F.col("l")) != "").select("k", _hashed(F.col("l")).alias("line"))
+    texts = rows.filter(F.col("t").isNotNull())
+    placed = texts.select("k", F.xxhash64("t").alias("x"), F.xxhash64(f"r.`{site}`").alias("site"), F.explode(_lines(F.col("t"))).alias("l"))
+    placed = placed.filter(_trimmed(F.col("l")) != "").select("k", "x", "site", _hashed(F.col("l")).alias("line"))
     spread = materialize(spread_lines(documents, text, site, sites))
-    marked = placed.join(spread, "line", "left_semi").groupBy("k").agg(F.collect_set("line").alias("bad"))
+    on = placed.join(spread, "line", "left_semi")
+    if copies_once:
+        # Only lines that are spread with all copies counted can be without.
+        on = materialize(on.distinct())
+        home = on.groupBy("line", "x").agg(F.min("site").alias("site")).select("line", "site").distinct()
+        spread = materialize(home.groupBy("line").agg(F.count("*").alias("n")).filter(F.col("n") >= sites).select("line"))
+        on = on.join(spread, "line", "left_semi")
+    marked = on.groupBy("k").agg(F.collect_set("line").alias("bad"))
     marked = materialize(marked)
     lines = _lines(F.col("t"))
     kept = F.filter(lines, lambda l: ~F.array_contains(F.col("bad"), _hashed(l)) | (_trimmed(l) == ""))

@@ -6,6 +6,7 @@ import re
 
 import pytest
 
+import corpus_pipeline
 from llm_helpers import awkward_rows, documents, plain
 from shelfcast.llm import decontaminate, linededup
 
@@ -120,3 +121,14 @@ def test_lines_equal_sites_counted(spark, sites, max_share):
     found = linededup.remove_spread_lines(documents(spark, rows), sites=sites, max_share=max_share)
     shown = found.select("r.doc_id", "kept", "n_lines", "n_removed").collect()
     assert plain(shown) == plain(_cut(rows, sites, max_share))
+
+
+def test_pipeline_removes_boilerplate_from_pages_that_are_mostly_boilerplate(spark):
+    common = "a line that many sources share and that is longer than what a page has of its own"
+    rows = [(k, f"{common}\nown {k}", "en", f"s{k}") for k in range(12)]
+    copied = "the first line of a text that was copied\nthe second line of it"
+    rows += [(100 + k, copied, "en", f"s{k}") for k in range(12)]
+    docs = spark.createDataFrame([(*r, len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    left = corpus_pipeline.remove_boilerplate(spark, docs, "").collect()
+    want = [(i, f"own {i}" if i < 100 else t, lang, s) for i, t, lang, s in rows]
+    assert plain(left) == plain((*r, len(r[1])) for r in want)
