@@ -8,6 +8,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from llm_helpers import awkward_rows, documents, plain
 from shelfcast.llm import langid, licenses, toxicity
 from shelfcast.llm.rows import table
@@ -155,3 +156,11 @@ def test_toxicity_of_awkward_tables(spark):
     one = labels.withColumn("toxic", F.lit(0))
     assert not any(r.flagged for r in toxicity.predict_toxicity(documents(spark, rows), one).collect())
     assert toxicity.predict_toxicity(documents(spark, []), labels.limit(0)).count() == 0
+
+
+def test_pipeline_drops_texts_without_any_known_n_gram(spark):
+    rows = [(k, f"these are plain english words number {k} of a short text", "en", "s") for k in range(40)]
+    rows += [(100, "это русский текст", None, "s"), (101, "日本語の文章です", None, "s"), (102, "123", "en", "s"), (103, None, "en", "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    left = corpus_pipeline.keep_known_languages(spark, docs, "").collect()
+    assert sorted(r.doc_id for r in left) == list(range(40))
