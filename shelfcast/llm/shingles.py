@@ -220,9 +220,9 @@ def similar(
     ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
     ends = ends.unionByName(members.select("node")).distinct()
     owners = materialize(nodes.join(ends, "node", "left_semi").select(F.col("least").alias("doc_id"), F.col("node").alias("wanted")))
-    owned = texts.join(owners.hint("merge"), "doc_id").select("doc_id", "text", "fp", "wanted")
+    owned = texts.join(owners.hint("merge"), "doc_id").select("doc_id", "text", "fp", "wanted").distinct()  # where the join put them
     sets = owned.mapInArrow(shingle, "node long, fp long, s array<long>, wanted long").filter(F.col("node") == F.col("wanted"))
-    sets = materialize(sets.select("node", "fp", "s").dropDuplicates(["node"]))
+    sets = materialize(sets.select("node", "fp", "s"))
 
     left = sets.select(F.col("node").alias("a"), F.col("s").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("s").alias("y"))
