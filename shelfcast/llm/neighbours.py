@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from shelfcast.session import materialize
 
 TREES = 16
-#: Rows that a leaf holds about, and rows that a query looks at in all trees together, repeats included.
+#: Rows that a leaf holds about.
 LEAF_ROWS = 1024
+#: Rows that a query looks at in all trees together, repeats included: this share of them, and so many at least.
+SEARCHED_SHARE = 1 / 16
 SEARCHED = 60_000
 #: Vectors that the trees are grown on at most, those with the smallest hash of their id; all vectors are indexed.
 GROWN_ON = 32_768
@@ -93,6 +95,11 @@ def search_forest(forest: list[Tree], query: np.ndarray, searched: float, scale:
     return found
 
 
+def to_search(total: int, trees: int = TREES) -> float:
+    """Rows that a query looks at by default in `trees` over `total` vectors."""
+    return max(SEARCHED, SEARCHED_SHARE * total * trees)
+
+
 def _clean(vectors: DataFrame, vec: str, embedding: str) -> DataFrame:
     """(vec_id, v) with finite, non-zero vectors of the commonest length; one row for each id."""
     v = F.transform(F.col(embedding), lambda x: x.cast("double"))
@@ -110,14 +117,15 @@ def _clean(vectors: DataFrame, vec: str, embedding: str) -> DataFrame:
 
 def nearest(
     vectors: DataFrame, is_query: Column, k: int = 20, vec: str = "vec_id", embedding: str = "embedding",
-    trees: int = TREES, leaf_rows: int = LEAF_ROWS, searched: int = SEARCHED, seed: int = 0,
+    trees: int = TREES, leaf_rows: int = LEAF_ROWS, searched: float | None = None, seed: int = 0,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each vector with `is_query` (of `vec_id`) the `k` others found with the
     largest inner product, in double precision, ties to the smaller id.
 
     Trees are grown on a bounded sample and shared with all tasks; every vector is put into one leaf of each tree, with
     one more component that makes all of them equally long, so that near in angle means large in product. A query
-    searches the leaves of a queue over all trees until they hold `searched` rows, and is scored exactly against them;
+    searches the leaves of a queue over all trees until they hold `searched` rows (by default a share of all, so that recall does not fall as tables grow), and is scored
+    exactly against them; rows with the same vector are one query;
     with `searched` beyond the rows of all trees every vector is compared. Leaves are medians of the sample and so stay
     about equal; copies of a vector, which no tree can part, are one row with its `k + 1` smallest ids.
 
@@ -131,12 +139,14 @@ def nearest(
     listed = rows.withColumn("n", F.row_number().over(ranks)).filter(F.col("n") <= k + 1)
     distinct = materialize(listed.groupBy("v").agg(F.array_sort(F.collect_list("vec_id")).alias("ids")))
     total, longest = distinct.agg(F.count("*"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
-    queries = rows.filter(is_query).select(F.col("vec_id").alias("query_id"), "v")
+    asking = rows.filter(is_query).select(F.col("vec_id").alias("asked_id"), "v")
+    queries = asking.groupBy("v").agg(F.min("asked_id").alias("query_id"))
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = distinct.select("v").orderBy(F.xxhash64(F.col("ids")[0])).limit(GROWN_ON).collect()
     forest = grow_forest(_level(np.array([r.v for r in sample]), longest), total, trees, leaf_rows, seed)
     scale = total / len(sample)
+    searched = to_search(total, trees) if searched is None else searched
 
     # The forest travels with the functions; its size is bounded by the sample's.
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -166,8 +176,8 @@ def nearest(
                 best = np.argpartition(-near, keep - 1, axis=1)[:, :keep]
                 for query, v, picked in zip(part["query_id"], part["v"], best):
                     exact = (points[picked] * v).sum(axis=1)
-                    pairs = [(-s, i) for s, p in zip(exact.tolist(), picked) for i in ids[p] if i != query]
-                    pairs = sorted(pairs)[:k]
+                    pairs = [(-s, i) for s, p in zip(exact.tolist(), picked) for i in ids[p]]
+                    pairs = sorted(pairs)[: k + 1]
                     out["query_id"].append(query)
                     out["vec_ids"].append([i for _, i in pairs])
                     out["scores"].append([-s for s, _ in pairs])
@@ -183,7 +193,12 @@ def nearest(
     )
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     found = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k + 1).drop("rank")
+    # Every row that asked gets its vector's answer, less itself.
+    named = asking.join(queries, "v").select("query_id", "asked_id")
+    each = named.join(best, "query_id").filter(F.col("vec_id") != F.col("asked_id"))
+    each = each.select(F.col("asked_id").alias("query_id"), "vec_id", "score")
+    ranked = each.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 

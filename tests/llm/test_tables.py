@@ -186,3 +186,35 @@ def test_empty_mix(spark):
     assert mixing.mix(documents(spark, [])).count() == 0
     nothing = mixing.mix(documents(spark, [(1, None, None, None), (2, "", None, "a")])).collect()
     assert [r.taken for r in nothing] == [0, 0]
+
+
+def test_recall_does_not_fall_as_tables_grow():
+    """Production parameters over 300,000 vectors in groups: only a part of them is looked at."""
+    random = np.random.default_rng(12)
+    centres = random.normal(size=(10, 64)) * 0.1
+    vectors = centres[random.integers(0, 10, 300_000)] + random.normal(size=(300_000, 64))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    sample = vectors[: neighbours.GROWN_ON]
+    forest = neighbours.grow_forest(sample, len(vectors))
+    leaves = [t.leaves(vectors) for t in forest]
+    got, want, looked = {}, {}, []
+    searched = neighbours.to_search(len(vectors))
+    for q in range(25):
+        found = np.zeros(len(vectors), bool)
+        for t, leaf in neighbours.search_forest(forest, vectors[q], searched, len(vectors) / len(sample)):
+            found |= leaves[t] == leaf
+        near = np.argsort(-(vectors @ vectors[q]))[1:21]
+        want[q], got[q] = set(near.tolist()), set(near[found[near]].tolist())
+        looked.append(found.mean())
+    assert np.mean(looked) < 0.8
+    assert recall(got, want) >= 0.9
+
+
+def test_neighbours_of_copies_that_ask(spark):
+    random = np.random.default_rng(3)
+    rows = [(i, random.normal(size=4).tolist()) for i in range(30)]
+    rows += [(100 + i, rows[5][1]) for i in range(40)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = _found(neighbours.nearest(df, F.col("vec_id") % 5 == 0, k=6))
+    want = _exact(dict(rows), lambda i: i % 5 == 0, 6)
+    assert {q: [i for i, _ in near] for q, near in found.items()} == {q: [i for i, _ in near] for q, near in want.items()}
