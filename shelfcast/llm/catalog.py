@@ -16,9 +16,11 @@ from shelfcast.llm import (
     linededup,
     mixing,
     neighbours,
+    repair,
     simhash,
     substrings,
     toxicity,
+    turntrie,
 )
 from shelfcast.llm.oracle import LLM_ORACLE
 from shelfcast.llm.rows import table
@@ -76,6 +78,14 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turntrie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_decontaminate": op2_decontaminate,
@@ -87,4 +97,6 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substrings": op8_substrings,
     "op9_simhash": op9_simhash,
     "op10_licenses": op10_licenses,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_repair": op12_repair,
 }
