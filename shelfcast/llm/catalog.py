@@ -14,6 +14,7 @@ from shelfcast.llm import (
     langid,
     licenses,
     linededup,
+    minhash,
     mixing,
     neighbours,
     repair,
@@ -86,6 +87,10 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.repair(repair.damage(table(spark, sf_dir, "conversations")))
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_neighbours": op1_neighbours,
     "op2_decontaminate": op2_decontaminate,
@@ -99,4 +104,5 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_licenses": op10_licenses,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_repair": op12_repair,
+    "op13_minhash": op13_minhash,
 }

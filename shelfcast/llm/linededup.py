@@ -56,30 +56,33 @@ def spread_lines(documents: DataFrame, text: str = "text", site: str = "source",
 
 def remove_spread_lines(
     documents: DataFrame, doc: str = "doc_id", text: str = "text", site: str = "source", sites: int = SITES,
-    max_share: float | None = None, copies_once: bool = False,
+    families: DataFrame | None = None,
 ) -> DataFrame:
     """(r, kept, n_lines, n_removed): every row of `documents` as the struct `r`, with its text less boilerplate lines.
 
     Lines end at a line feed and are compared without blanks around them; blank lines are never boilerplate, and
-    the kept lines stay as they are. Every occurrence of a boilerplate line goes. With `max_share`, a text of which a
-    larger share of the characters would go is left whole: it is a copy of another text rather than one that carries
-    boilerplate. With `copies_once`, each distinct text counts for one of its sites only, so that the lines of a text that
-    was copied to many sites are not boilerplate for that reason. A null text stays null with 0 lines; an empty text has none either. Repeated rows are treated alike,
-    rows with a null id by their text.
+    the kept lines stay as they are. Every occurrence of a boilerplate line goes. With `families`, rows of (doc_id,
+    family), the texts of a family count for one of their sites only, so that the lines of a page that was copied to many
+    sites are not boilerplate for that reason; a text without a family is one of its own. A null text stays null with 0
+    lines; an empty text has none either. Repeated rows are treated alike, rows with a null id by their text.
     """
     rows = documents.select(
         F.struct("*").alias("r"), F.col(text).alias("t"), F.xxhash64(F.col(doc), F.col(text)).alias("k")
     )
     texts = rows.filter(F.col("t").isNotNull())
-    placed = texts.select("k", F.xxhash64("t").alias("x"), F.xxhash64(f"r.`{site}`").alias("site"), F.explode(_lines(F.col("t"))).alias("l"))
-    placed = placed.filter(_trimmed(F.col("l")) != "").select("k", "x", "site", _hashed(F.col("l")).alias("line"))
+    site_of = F.xxhash64(f"r.`{site}`").alias("site")
+    placed = texts.select("k", F.col(f"r.`{doc}`").alias("doc"), site_of, F.explode(_lines(F.col("t"))).alias("l"))
+    placed = placed.filter(_trimmed(F.col("l")) != "").select("k", "doc", "site", _hashed(F.col("l")).alias("line"))
     spread = materialize(spread_lines(documents, text, site, sites))
     on = placed.join(spread, "line", "left_semi")
-    if copies_once:
-        # Only lines that are spread with all copies counted can be without.
+    if families is not None:
+        # Only lines that are spread with every text counted can be without.
         on = materialize(on.distinct())
-        home = on.groupBy("line", "x").agg(F.min("site").alias("site")).select("line", "site").distinct()
-        spread = materialize(home.groupBy("line").agg(F.count("*").alias("n")).filter(F.col("n") >= sites).select("line"))
+        named = families.select(F.col("doc_id").alias("doc"), "family").groupBy("doc").agg(F.min("family").alias("family"))
+        family = F.when(F.col("family").isNull(), F.xxhash64(F.lit("t"), "k")).otherwise(F.xxhash64(F.lit("f"), "family"))
+        homes = on.join(named, "doc", "left").withColumn("family", family)
+        homes = homes.groupBy("line", "family").agg(F.min("site").alias("site")).select("line", "site").distinct()
+        spread = materialize(homes.groupBy("line").agg(F.count("*").alias("n")).filter(F.col("n") >= sites).select("line"))
         on = on.join(spread, "line", "left_semi")
     marked = on.groupBy("k").agg(F.collect_set("line").alias("bad"))
     marked = materialize(marked)
@@ -88,13 +91,10 @@ def remove_spread_lines(
     cut = rows.join(marked.hint("merge"), "k", "left").select("r", "t", "bad", F.when(F.col("bad").isNotNull(), kept).alias("left"))
     new = F.array_join("left", "\n")
     change = F.col("bad").isNotNull()
-    if max_share is not None:
-        change &= F.length(new) >= (1 - max_share) * F.length("t")
-    cut = cut.withColumn("change", F.coalesce(change, F.lit(False)))
     n_lines = F.when(F.coalesce(F.col("t"), F.lit("")) == "", 0).otherwise(F.size(lines))
     return cut.select(
         "r",
-        F.when(F.col("change"), new).otherwise(F.col("t")).alias("kept"),
+        F.when(change, new).otherwise(F.col("t")).alias("kept"),
         n_lines.cast("long").alias("n_lines"),
-        F.when(F.col("change"), F.size(lines) - F.size("left")).otherwise(0).cast("long").alias("n_removed"),
+        F.when(change, F.size(lines) - F.size("left")).otherwise(0).cast("long").alias("n_removed"),
     )

@@ -1,36 +1,15 @@
-"""Texts joined by the exact Jaccard similarity of their shingles, through prefixes in one order of all shingles.
-
-Two sets that share `least` of their union share a shingle among the first few of each in any fixed order, so only texts
-that meet in such a prefix are compared, and none that are similar go without. Rare shingles come first. What meets in a
-small bucket is compared pair by pair; in a larger one every member is compared with one of them first, and what that
-leaves apart is compared in blocks of rows times rows, each a task's share of its own.
-"""
+"""Sets of word shingles as 64-bit hashes, made in numpy over batches of texts."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from shelfcast.llm.components import components
-from shelfcast.llm.substrings import _MIX, _hashed, _mixed, _small
-from shelfcast.session import materialize
-
-#: Texts that common shingles are counted in, and how many of them are put last; they steer the layout, never the result.
-ORDERED_FROM = 20_000
-COMMON = 100_000
-#: Members of a bucket up to which all pairs are listed, and members of a block of a larger one.
-SMALL_BUCKET = 24
-BLOCK = 256
+from shelfcast.llm.substrings import _MIX, _hashed, _mixed
 
 #: A to Z in lower case; other bytes stay.
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-#: Keeps rounding from making a prefix too short or a pair too dissimilar; similarities are checked in whole numbers.
-_EPS = 1e-9
 
 
 def _lowered(texts: pa.Array) -> pa.Array:
@@ -43,7 +22,7 @@ def _lowered(texts: pa.Array) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(offsets - offsets[0]), pa.py_buffer(data)])
 
 
-def _sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     """(text, shingle) of the distinct shingles of each text; a text of fewer words has one of all its words."""
     words, bounds = _hashed(_lowered(texts))
     lengths = np.diff(bounds)
@@ -62,214 +41,14 @@ def _sets(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
     return of[new], hashes[new]
 
 
-def _nodes(of: np.ndarray, hashes: np.ndarray, prints: np.ndarray) -> np.ndarray:
-    """A number for each text's set of shingles and its fingerprint."""
+def set_keys(of: np.ndarray, hashes: np.ndarray, count: int) -> np.ndarray:
+    """A number for each of `count` sets of shingles."""
     with np.errstate(over="ignore"):
-        sums = np.zeros(len(prints), np.uint64)
+        sums = np.zeros(count, np.uint64)
         np.add.at(sums, of, _mixed(hashes * _MIX[0]))
-        return _mixed(_mixed(sums * _MIX[0] + np.bincount(of, minlength=len(prints)).astype(np.uint64)) + prints).view(np.int64)
+        return _mixed(sums * _MIX[0] + np.bincount(of, minlength=count).astype(np.uint64)).view(np.int64)
 
 
-def _lists(of: np.ndarray, values: np.ndarray, count: int) -> pa.ListArray:
+def lists(of: np.ndarray, values: np.ndarray, count: int) -> pa.ListArray:
     offsets = np.r_[0, np.cumsum(np.bincount(of, minlength=count))].astype(np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))
-
-
-def _common(texts: DataFrame, width: int) -> np.ndarray:
-    """Shingles that more than one of some texts have, the commonest first."""
-    total = texts.count()
-    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / (1 << 30)
-
-    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _small(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(_sets(batch.column(1), width)[1].view(np.int64))], ["h"])
-
-    some = texts.filter(place < ORDERED_FROM / max(total, 1)).mapInArrow(shingle, "h long")
-    often = some.groupBy("h").agg(F.count("*").alias("n")).filter("n > 1").orderBy(F.desc("n"), "h").limit(COMMON)
-    return np.array([r.h for r in often.collect()], np.int64).view(np.uint64)
-
-
-def _needed(n, least: float):
-    """Shingles that two sets of `n` together have in common at least."""
-    return least / (1 + least) * n - _EPS
-
-
-def _meet(key, node, n, pos, fp, least: float, bits: int):
-    """Pairs to compare of rows in order of (key, node), and (row, block) of the members of the larger buckets."""
-    starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
-    sizes = np.diff(np.r_[starts, len(key)])
-    size = np.repeat(sizes, sizes)
-    small = np.flatnonzero((size <= SMALL_BUCKET) & (size > 1))
-    pairs = []
-    for step in range(1, SMALL_BUCKET):
-        same = small[:-step][key[small[step:]] == key[small[:-step]]]
-        if not len(same):
-            break
-        pairs.append((same, same + step))
-    large = np.flatnonzero(size > SMALL_BUCKET)
-    first = np.repeat(starts, sizes)[large]
-    pairs.append((first[first != large], large[first != large]))
-    a, b = np.concatenate([x for x, _ in pairs]), np.concatenate([y for _, y in pairs])
-    # Where a pair meets first in the order, no more than the shorter rest can be in common besides.
-    most = np.minimum(n[a] - pos[a], n[b] - pos[b])
-    on = (most >= _needed(n[a].astype(float) + n[b], least)) & (np.bitwise_count(fp[a] ^ fp[b]) <= bits)
-    return node[a[on]], node[b[on]], large, (large - first) // BLOCK
-
-
-def _alike(rows, least: float, bits: int) -> tuple[list, list]:
-    """Similar pairs of the members of one pair of blocks; members of one component are not compared."""
-    node, comp, side, fp, sets = rows
-    lengths = np.array([len(s) for s in sets])
-    _, ids = np.unique(np.concatenate(sets), return_inverse=True)
-    ids, bounds = ids.reshape(-1), np.r_[0, np.cumsum(lengths)]
-    mark = np.zeros(len(ids) + 1, np.int64)
-    found: tuple[list, list] = ([], [])
-    for x in np.flatnonzero(side == side.min()):
-        beside = node > node[x] if side.min() == side.max() else side != side[x]
-        other = np.flatnonzero((comp != comp[x]) & beside)
-        other = other[np.bitwise_count(fp[other] ^ fp[x]) <= bits]
-        low, high = np.minimum(lengths[other], lengths[x]), np.maximum(lengths[other], lengths[x])
-        other = other[low >= least * high - _EPS]
-        if not len(other):
-            continue
-        mark[ids[bounds[x] : bounds[x + 1]]] = 1
-        both = np.r_[0, np.cumsum(mark[ids])]
-        both = both[bounds[other + 1]] - both[bounds[other]]
-        mark[ids[bounds[x] : bounds[x + 1]]] = 0
-        near = other[both >= least * (lengths[other] + lengths[x] - both)]
-        found[0].extend([node[x]] * len(near))
-        found[1].extend(node[near])
-    return found
-
-
-def similar(
-    documents: DataFrame, doc: str = "doc_id", text: str = "text", width: int = 5, least: float = 0.8,
-    prints: DataFrame | None = None, bits: int = 64,
-) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of `documents`; fp is 0 without `prints`.
-
-    Texts are linked if they share `least` of their distinct shingles of `width` words (Jaccard, exact up to 64-bit
-    hashes), whatever the kind of edit between them; A-Z are compared without case. Texts of the same shingles are one
-    node. component_id is the smallest id that a chain of links reaches; a null id is named by the ids of its own
-    text's group, and null where its text has no other.
-
-    With `prints`, rows of (doc_id, text, fp), a link also needs fingerprints within `bits` bits.
-    """
-    columns = [F.col(doc).cast("long").alias("doc_id"), F.col(text).alias("text")]
-    texts = documents.select(*columns, F.lit(0).cast("long").alias("fp")) if prints is None else prints
-    common = _common(texts, width)
-    by_hash, place = np.sort(common), np.argsort(common, kind="stable")
-
-    def prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _small(batches):
-            fp = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
-            of, hashes = _sets(batch.column(1), width)
-            n = np.bincount(of, minlength=len(batch))
-            late = np.zeros(len(hashes), np.int64)
-            if len(common):
-                at = np.minimum(np.searchsorted(by_hash, hashes), len(common) - 1)
-                late = np.where(by_hash[at] == hashes, len(common) - place[at], 0)
-            order = np.lexsort((hashes, late, of))
-            pos = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
-            kept = pos < (n - np.ceil(least * n - _EPS) + 1)[of]
-            rows = [batch.column(0), pa.array(_nodes(of, hashes, fp)), batch.column(2), pa.array(n.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(
-                [*rows, _lists(of[kept], hashes[order][kept], len(batch))], ["doc_id", "node", "fp", "n", "prefix"]
-            )
-
-    rows = materialize(texts.select("doc_id", "text", "fp").mapInArrow(prefix, "doc_id long, node long, fp long, n int, prefix array<long>"))
-    known = rows.filter(F.col("doc_id").isNotNull())
-    nodes = known.groupBy("node").agg(F.min("doc_id").alias("least"))
-    nodes = materialize(nodes)
-    firsts = known.join(nodes.withColumnRenamed("least", "doc_id").hint("merge"), ["node", "doc_id"]).dropDuplicates(["node"])
-
-    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for batch in batches:
-            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-            held = new if held is None else [np.concatenate(x) for x in zip(held, new)]
-            ends = np.flatnonzero(held[0][1:] != held[0][:-1]) + 1  # the last bucket may go on in the next batch
-            if len(ends):
-                yield listed([x[: ends[-1]] for x in held])
-                held = [x[ends[-1] :] for x in held]
-        if held is not None and len(held[0]):
-            yield listed(held)
-
-    def listed(held):
-        key, node, n, pos, fp = held
-        a, b, large, block = _meet(key, node, n, pos, fp.view(np.uint64), least, bits)
-        none = pa.nulls(len(a), pa.int64())
-        left = [none, pa.array(a), pa.array(b), none]
-        right = [pa.array(key[large]), pa.array(node[large]), pa.nulls(len(large), pa.int64()), pa.array(block)]
-        return pa.RecordBatch.from_arrays([pa.concat_arrays(x) for x in zip(left, right)], ["key", "a", "b", "block"])
-
-    placed = firsts.select(F.posexplode("prefix").alias("pos", "key"), "node", "n", "fp").select("key", "node", "n", "pos", "fp")
-    dealt = placed.repartition("key").sortWithinPartitions("key", "node")
-    met = materialize(dealt.mapInArrow(meet, "key long, a long, b long, block long"))
-    pairs = materialize(met.filter(F.col("b").isNotNull()).select("a", "b").distinct())
-    members = met.filter(F.col("key").isNotNull()).select("key", "block", F.col("a").alias("node"))
-
-    def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _small(batches):
-            of, hashes = _sets(batch.column(1), width)
-            fp = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
-            found = [pa.array(_nodes(of, hashes, fp)), batch.column(2), _lists(of, hashes, len(batch))]
-            yield pa.RecordBatch.from_arrays([*found, batch.column(3)], ["node", "fp", "s", "wanted"])
-
-    # Only texts that meet others are read beyond the prefixes.
-    ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-    ends = ends.unionByName(members.select("node")).distinct()
-    owners = materialize(nodes.join(ends, "node", "left_semi").select(F.col("least").alias("doc_id"), F.col("node").alias("wanted")))
-    owned = texts.join(owners.hint("merge"), "doc_id").select("doc_id", "text", "fp", "wanted").distinct()  # where the join put them
-    sets = owned.mapInArrow(shingle, "node long, fp long, s array<long>, wanted long").filter(F.col("node") == F.col("wanted"))
-    sets = materialize(sets.select("node", "fp", "s"))
-
-    left = sets.select(F.col("node").alias("a"), F.col("s").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("s").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    either = F.size("x") + F.size("y") - both
-    found = materialize(pairs.join(left, "a").join(right, "b").filter(both >= least * either).select("a", "b"))
-
-    # Larger buckets: blocks whose members are not all of one component by now.
-    linked = materialize(components(found))
-    members = members.join(linked, "node", "left")
-    members = materialize(members.select("key", "block", "node", F.coalesce("root", F.xxhash64("node")).alias("comp")))
-    blocks = members.groupBy("key", "block").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-    blocks = materialize(blocks)
-    i = blocks.select("key", F.col("block").alias("i"), F.col("lo").alias("li"), F.col("hi").alias("ui"))
-    j = blocks.select("key", F.col("block").alias("j"), F.col("lo").alias("lj"), F.col("hi").alias("uj"))
-    both_blocks = i.join(j, "key").filter((F.col("i") <= F.col("j")) & (F.least("li", "lj") < F.greatest("ui", "uj")))
-    both_blocks = materialize(both_blocks.select("key", "i", "j"))
-    if not both_blocks.isEmpty():
-        asked = both_blocks.select("*", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-        held = members.join(asked, ["key", "block"]).join(sets, "node").select("key", "i", "j", "block", "node", "comp", "fp", "s")
-
-        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            at, group = None, []
-            for batch in batches:
-                names = list(zip(*[batch.column(k).to_pylist() for k in range(3)]))
-                rest = [batch.column(k).to_numpy(zero_copy_only=False) for k in (4, 5, 3, 6)]
-                offsets = batch.column(7).offsets.to_numpy()
-                values = batch.column(7).values.to_numpy(zero_copy_only=False)
-                for k, name in enumerate(names):
-                    if name != at and group:
-                        yield compared(group)
-                        group = []
-                    at = name
-                    group.append((*[x[k] for x in rest], values[offsets[k] : offsets[k + 1]].copy()))
-            if group:
-                yield compared(group)
-
-        def compared(group):
-            node, comp, side, fp = (np.array(x, np.int64) for x in list(zip(*group))[:4])
-            a, b = _alike((node, comp, side, fp.view(np.uint64), [g[4] for g in group]), least, bits)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-        grouped = held.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-        found = materialize(found.unionByName(grouped.mapInArrow(compare, "a long, b long").distinct()))
-        linked = materialize(components(found))
-
-    named = materialize(nodes.join(linked, "node", "left").select("node", "least", F.coalesce("root", F.xxhash64("node")).alias("root")))
-    smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = materialize(named.join(smallest, "root").select("node", "component_id"))
-    return rows.select("doc_id", "fp", "node").join(labels, "node", "left").select("doc_id", "fp", "component_id")

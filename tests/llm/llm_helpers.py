@@ -122,20 +122,21 @@ def shingles(text, width):
     return {b" ".join(w[j : j + width]) for j in range(max(len(w) - width + 1, min(len(w), 1)))}
 
 
-def similar_groups(rows, bits, width, least):
-    """(doc_id, smallest id) of groups joined by fingerprints within `bits` and shared shingles."""
-    prints = [fingerprint(text) for _, text, *_ in rows]
+def similar_groups(rows, width, least):
+    """(doc_id, shingles, smallest id, kept) of groups joined by shared shingles, by comparing all pairs of texts."""
     sets = [shingles(text, width) for _, text, *_ in rows]
 
     def linked(a, b):
         both = len(sets[a] & sets[b])
-        return (prints[a] ^ prints[b]).bit_count() <= bits and both >= least * (len(sets[a]) + len(sets[b]) - both)
+        return both and both >= least * (len(sets[a]) + len(sets[b]) - both)
 
     root = groups(range(len(rows)), [(a, b) for a in range(len(rows)) for b in range(a) if linked(a, b)])
     group_least = {}
     for k, (i, *_) in enumerate(rows):
-        group_least[root[k]] = min(group_least.get(root[k], i), i)
-    return [(i, group_least[root[k]]) for k, (i, *_) in enumerate(rows)]
+        if i is not None:
+            group_least[root[k]] = min(group_least.get(root[k], i), i)
+    out = [(i, len(sets[k]), group_least.get(root[k]) if sets[k] else i) for k, (i, *_) in enumerate(rows)]
+    return [(i, n, c, i == c) for i, n, c in out]
 
 
 def sha256(text):

@@ -241,7 +241,7 @@ def test_repair_equals_plain_python(spark):
     rows = awkward_conversations()
     found = repair.repair(repair.damage(table_of(spark, rows))).collect()
     assert plain(found) == plain(plain_repair(rows))
-    assert set("".join(r.audit for r in found)) == set("KRDI")
+    assert set("".join(r.audit for r in found)) == set("KRD")  # a made turn never pays at these costs
 
 
 def test_repair_of_nothing_and_of_dropped_rows(spark):

@@ -90,24 +90,26 @@ def test_empty_tables(spark, leaky):
     assert linededup.remove_spread_lines(documents(spark, [])).count() == 0
 
 
-def _cut(rows, sites, max_share=None):
-    on = {}
-    for _, text, _, source in rows:
+def _cut(rows, sites, family=None):
+    """Texts less the lines on `sites` sites, where the rows of a family count for its smallest site by hash."""
+    on, homes = {}, {}
+    for k, (_, text, _, source) in enumerate(rows):
         for line in (text.split("\n") if text is not None else []):
-            on.setdefault(line.strip(" \t\r"), set()).add(source)
+            seen = on.setdefault(line.strip(" \t\r"), {})
+            seen.setdefault(family[k] if family else ("row", k), set()).add(source)
+    for line, families in on.items():
+        # Which of its sites a family counts for is free; here families share none of theirs.
+        homes[line] = len({min(map(str, s)) for s in families.values()}) if family else len(set().union(*families.values()))
     out = []
     for i, text, *_ in rows:
         lines = text.split("\n") if text else []
-        left = [x for x in lines if not x.strip(" \t\r") or len(on[x.strip(" \t\r")]) < sites]
-        new = "\n".join(left) if len(left) < len(lines) else text
-        if max_share is not None and text and len(new) < (1 - max_share) * len(text):
-            left, new = lines, text
-        out.append((i, new, len(lines), len(lines) - len(left)))
+        left = [x for x in lines if not x.strip(" \t\r") or homes[x.strip(" \t\r")] < sites]
+        out.append((i, "\n".join(left) if len(left) < len(lines) else text, len(lines), len(lines) - len(left)))
     return out
 
 
-@pytest.mark.parametrize("sites, max_share", [(2, None), (8, None), (8, 0.5), (19, 0.2), (20, None)])
-def test_lines_equal_sites_counted(spark, sites, max_share):
+@pytest.mark.parametrize("sites", [2, 8, 20])
+def test_lines_equal_sites_counted(spark, sites):
     rng = random.Random(sites)
     common = {f"line {n} ": n for n in range(1, 23)}
     rows = [(k, "\n".join(f"own {k} {j}" for j in range(rng.randint(0, 4))), None, f"s{k % 23}") for k in range(60)]
@@ -118,17 +120,45 @@ def test_lines_equal_sites_counted(spark, sites, max_share):
             rows[k] = (i, text + "\n" + rng.choice(["", "\t"]) + line + "\n\n", lang, source)
     rows += [(70, "line 22", None, None), (70, "line 22", None, None), (None, "line 21\nnew", None, "s1")]
     rows += awkward_rows()
-    found = linededup.remove_spread_lines(documents(spark, rows), sites=sites, max_share=max_share)
+    found = linededup.remove_spread_lines(documents(spark, rows), sites=sites)
     shown = found.select("r.doc_id", "kept", "n_lines", "n_removed").collect()
-    assert plain(shown) == plain(_cut(rows, sites, max_share))
+    assert plain(shown) == plain(_cut(rows, sites))
 
 
-def test_pipeline_removes_boilerplate_from_pages_that_are_mostly_boilerplate(spark):
-    common = "a line that many sources share and that is longer than what a page has of its own"
-    rows = [(k, f"{common}\nown {k}", "en", f"s{k}") for k in range(12)]
+def _stage(spark, rows):
+    docs = spark.createDataFrame([(*r, len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    return docs, corpus_pipeline.remove_boilerplate(spark, docs, "")
+
+
+def test_pipeline_removes_boilerplate_from_pages_that_are_half_boilerplate(spark):
+    common = "a line that many sources share and that is as long as what a page has of its own"
+    rows = [(k, f"{common}\n" + " ".join(f"own{k}{j}" for j in range(16)), "en", f"s{k}") for k in range(12)]
     copied = "the first line of a text that was copied\nthe second line of it"
     rows += [(100 + k, copied, "en", f"s{k}") for k in range(12)]
-    docs = spark.createDataFrame([(*r, len(r[1])) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
-    left = corpus_pipeline.remove_boilerplate(spark, docs, "").collect()
-    want = [(i, f"own {i}" if i < 100 else t, lang, s) for i, t, lang, s in rows]
+    left = _stage(spark, rows)[1].collect()
+    want = [(i, t.split("\n")[1] if i < 100 else t, lang, s) for i, t, lang, s in rows]
     assert plain(left) == plain((*r, len(r[1])) for r in want)
+
+
+def test_pipeline_leaves_near_copies_on_many_sites_whole(spark):
+    """Nine near copies on nine sites keep their body, and go on to the next stage; what unrelated pages share goes."""
+    rng = random.Random(12)
+    line = lambda n: " ".join(f"w{rng.randrange(900)}" for _ in range(n))
+    body = [line(12) for _ in range(12)]
+    rows = [(k, "\n".join([*body, f"own tail {k}"]), "en", f"s{k}") for k in range(9)]
+    rows += [(9, "\n".join(body), "en", "s1"), (10, "\n".join(body), "en", "s2")]
+    footer = "all sites have this footer"
+    rows += [(20 + k, "\n".join([line(12), line(12), footer]), "en", f"t{k}") for k in range(9)]
+    left = {r.doc_id: r.text for r in _stage(spark, rows)[1].collect()}
+    assert all(left[i] == t for i, t, *_ in rows if i < 20)
+    assert all(left[i] == t.removesuffix("\n" + footer) for i, t, *_ in rows if i >= 20)
+
+
+def test_families_count_once_for_a_line(spark):
+    rows = [(k, f"shared\nown {k}", None, f"s{k}") for k in range(8)] + [(None, "shared\nx", None, "s9")]
+    docs = documents(spark, rows)
+    for families, gone in (([(k, k // 2) for k in range(8)], 5), ([(k, 0) for k in range(8)], 2), ([], 9), ([(0, None), (1, None)], 9)):
+        table = spark.createDataFrame(families, "doc_id long, family long")
+        for sites in (gone, gone + 1):
+            found = linededup.remove_spread_lines(docs, sites=sites, families=table).collect()
+            assert {r.n_removed for r in found} == {int(sites <= gone)}
