@@ -9,15 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, langid, linededup, mixing, shingles
+from shelfcast.llm import decontaminate, langid, linededup, minhash, mixing, simhash
 from shelfcast.llm.rows import table
 from shelfcast.session import materialize
 
-#: Share of boilerplate beyond which a text stays whole: none does, marked lines go from every text.
-MOST_BOILERPLATE = None
-
-#: Bits in which the fingerprints of similar texts differ at most: no limit, all texts are joined by their shingles.
-LOOK_WITHIN = 64
+#: Words of a shingle, and bits in which the fingerprints of near-duplicates differ at most.
+SHINGLE, BITS = 3, 3
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,9 +31,11 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def remove_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less the lines that many sources share; their number of characters follows the text.
 
-    A text that was copied to many sources counts for one of them, so that its own lines stay.
+    Texts that are mostly alike count for one source together, so that a page that was copied to many sources, with or
+    without changes, keeps its own lines.
     """
-    cut = linededup.remove_spread_lines(docs, max_share=MOST_BOILERPLATE, copies_once=True)
+    alike = minhash.near_duplicates(docs).select("doc_id", F.col("component_id").alias("family"))
+    cut = linededup.remove_spread_lines(docs, families=alike)
     new = {"text": F.col("kept"), "n_chars": F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("r.n_chars"))}
     return cut.select(*[
         new.get(field.name, F.col(f"r.`{field.name}`")).cast(field.dataType).alias(field.name) for field in docs.schema
@@ -44,12 +43,11 @@ def remove_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of texts that share 0.8 of their runs of five words.
+    """The document with the smallest id of each group of texts that fingerprints link.
 
-    All such texts are found, whatever the kind of edit between them. A document without an id stays, as it cannot be
-    told from others.
+    A document without an id stays, as it cannot be told from others.
     """
-    groups = shingles.similar(docs, width=5, least=0.8, bits=LOOK_WITHIN)
+    groups = simhash.near_duplicates(docs, width=SHINGLE, bits=BITS)
     gone = groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
     rows = docs.select(F.struct("*").alias("r"), F.col("doc_id").cast("long").alias("__id"))
     return rows.join(gone.hint("merge"), F.col("__id") == F.col("__gone"), "left_anti").select("r.*")
