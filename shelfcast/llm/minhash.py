@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from shelfcast.llm.components import components
-from shelfcast.llm.shingles import lists, set_keys, shingle_sets
+from shelfcast.llm.shingles import set_keys, shingle_sets
 from shelfcast.llm.substrings import _MIX, _mixed, _small
 from shelfcast.session import materialize
 
@@ -39,6 +39,11 @@ COMMON = 100_000
 SMALL_LIST = 24
 BLOCK = 256
 SALTED = 50_000
+#: Partners in a block up to which each is tried by itself.
+FEW = 8
+#: Bytes of a shingle's hash where full sets are compared, and texts that are compared with one in a task.
+SHINGLE_BYTES = 5
+LEAVES = 1000
 #: Bits of the filter for the texts whose full sets are wanted: at least 16 for each, up to this many (16 MB).
 FILTER_BITS = 1 << 27
 
@@ -172,55 +177,97 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _matching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, signature, signature) to the (a, b) that agree in enough coordinates."""
+    """(a, b, signature, signature) to (a, b, matches) of those that agree in enough coordinates."""
     for batch in batches:
-        on = (_matrix(batch.column(2)) == _matrix(batch.column(3))).sum(axis=1) >= MATCHES
-        yield pa.RecordBatch.from_arrays([c.filter(pa.array(on)) for c in batch.columns[:2]], ["a", "b"])
+        matches = (_matrix(batch.column(2)) == _matrix(batch.column(3))).sum(axis=1)
+        on = pa.array(matches >= MATCHES)
+        columns = [batch.column(0), batch.column(1), pa.array(matches.astype(np.int32))]
+        yield pa.RecordBatch.from_arrays([c.filter(on) for c in columns], ["a", "b", "matches"])
+
+
+def _packed(of: np.ndarray, hashes: np.ndarray, count: int) -> pa.Array:
+    """Sets as binary values of 40 bits a shingle, in order. Within one pair of sets of 500, two different shingles
+    have the same bits with a probability of 2e-7."""
+    short = np.ascontiguousarray(hashes.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, 3:]
+    offsets = np.r_[0, np.cumsum(np.bincount(of, minlength=count))].astype(np.int64) * SHINGLE_BYTES
+    data = pa.py_buffer(np.ascontiguousarray(short).tobytes())
+    return pa.Array.from_buffers(pa.large_binary(), count, [None, pa.py_buffer(offsets), data]).cast(pa.binary())
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    wide = np.zeros((len(packed) // SHINGLE_BYTES, 8), np.uint8)
+    wide[:, :SHINGLE_BYTES] = np.frombuffer(packed, np.uint8).reshape(-1, SHINGLE_BYTES)
+    return wide.view("<u8").ravel()
+
+
+def _alike(x: np.ndarray, y: np.ndarray) -> bool:
+    if 100 * min(len(x), len(y)) < LEAST * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= LEAST * (len(x) + len(y) - both)
+
+
+def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (hub, part, leaf, node, s) in order, a hub's own row before its leaves, to the links of hubs and leaves."""
+    hub, held = None, np.empty(0, np.uint64)
+    for batch in batches:
+        found = []
+        for name, leaf, node, packed in zip(*[batch.column(k).to_pylist() for k in (0, 2, 3, 4)]):
+            if not leaf:
+                hub, held = name, _unpacked(packed)
+            elif name == hub and _alike(held, _unpacked(packed)):
+                found.append((name, node))
+        yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
 def _compared(rows: list[tuple]) -> pa.RecordBatch:
-    """Links between the two sides of one pair of blocks, (node, component, side, set) rows; components that are joined
-    here count as one from then on."""
-    node, comp, side = (np.array([r[k] for r in rows], np.int64) for k in range(3))
-    sizes = np.array([len(r[3]) for r in rows])
-    hashes = np.concatenate([r[3] for r in rows]).view(np.uint64)
-    signatures = _signatures(np.repeat(np.arange(len(rows)), sizes), hashes, len(rows))
-    _, ids = np.unique(hashes, return_inverse=True)
-    ids, bounds = ids.reshape(-1), np.r_[0, np.cumsum(sizes)]
-    mark, found = np.zeros(len(ids) + 1, np.int64), []
+    """Links between the two sides of one pair of blocks, (key, i, j, side, node, component, signature, set) rows;
+    components that are joined here count as one from then on."""
+    node, comp, side = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 3))
+    signatures = np.frombuffer(b"".join(r[6] for r in rows), np.uint32).reshape(-1, COORDINATES)
+    sets, found = [_unpacked(r[7]) for r in rows], []
     for x in np.flatnonzero(side == 0):
         other = np.flatnonzero((side == 1) & (comp != comp[x]))
-        low, high = np.minimum(sizes[other], sizes[x]), np.maximum(sizes[other], sizes[x])
-        other = other[100 * low >= LEAST * high]
-        other = other[(signatures[other] == signatures[x]).sum(axis=1) >= MATCHES]
-        if not len(other):
-            continue
-        mine = ids[bounds[x] : bounds[x + 1]]
-        mark[mine] = 1
-        both = np.array([mark[ids[bounds[y] : bounds[y + 1]]].sum() for y in other])
-        mark[mine] = 0
-        for y in other[100 * both >= LEAST * (sizes[other] + sizes[x] - both)]:
-            if comp[y] != comp[x]:
+        for y in other[(signatures[other] == signatures[x]).sum(axis=1) >= MATCHES]:
+            if comp[y] != comp[x] and _alike(sets[x], sets[y]):
                 found.append((node[x], node[y]))
                 comp[comp == comp[y]] = comp[x]
     return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (key, i, j, side, node, comp, s) in the order of their pairs of blocks to links."""
-    at, group = None, []
-    for batch in batches:
-        names = zip(*[batch.column(k).to_pylist() for k in range(3)])
-        side, node, comp = (batch.column(k).to_numpy(zero_copy_only=False) for k in (3, 4, 5))
-        offsets, values = batch.column(6).offsets.to_numpy(), batch.column(6).values.to_numpy(zero_copy_only=False)
-        for k, name in enumerate(names):
-            if name != at and group:
-                yield _compared(group)
-                group = []
-            at = name
-            group.append((node[k], comp[k], side[k], values[offsets[k] : offsets[k + 1]].copy()))
-    if group:
-        yield _compared(group)
+def _agreeing(rows: list[tuple]) -> pa.RecordBatch:
+    """Of one pair of blocks, (key, i, j, side, node, component, signature) rows: pairs (a, b) of different components that
+    agree in enough coordinates. A text with more than `FEW` such partners is named with the blocks instead."""
+    node, comp, side = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 3))
+    signatures = np.frombuffer(b"".join(r[6] for r in rows), np.uint32).reshape(-1, COORDINATES)
+    theirs, found = np.flatnonzero(side == 1), []
+    for x in np.flatnonzero(side == 0):
+        near = theirs[(signatures[theirs] == signatures[x]).sum(axis=1) >= MATCHES]
+        near = near[comp[near] != comp[x]]
+        if len(near) > FEW:
+            found.append((*rows[0][:3], node[x], None))
+        else:
+            found.extend((None, None, None, node[x], node[y]) for y in near)
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)], ["key", "i", "j", "a", "b"])
+
+
+def _by_blocks(compared):
+    """A function of batches in the order of their pairs of blocks (key, i, j) that takes each pair's rows together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, group = None, []
+        for batch in batches:
+            for row in zip(*[column.to_pylist() for column in batch.columns]):
+                if row[:3] != at and group:
+                    yield compared(group)
+                    group = []
+                at = row[:3]
+                group.append(row)
+        if group:
+            yield compared(group)
+
+    return run
 
 
 def _wanted_filter(wanted: DataFrame) -> np.ndarray:
@@ -251,7 +298,7 @@ def _rows(texts: DataFrame, width: int) -> DataFrame:
 
 
 def _full_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, s) of the wanted nodes, from a second reading of the texts that sends on hardly any other."""
+    """(node, s) of the nodes in `wanted`, from another reading of the texts that sends on hardly any other."""
     held = _wanted_filter(wanted)
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -261,11 +308,25 @@ def _full_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             place = (node & (8 * len(held) - 1)).astype(np.int64)
             on = np.flatnonzero(held[place >> 3] >> (place & 7).astype(np.uint8) & 1)
             on = on[np.unique(node[on], return_index=True)[1]]
-            sets = lists(of, hashes, len(batch)).take(pa.array(on))
+            sets = _packed(of, hashes, len(batch)).take(pa.array(on))
             yield pa.RecordBatch.from_arrays([pa.array(node[on]), sets], ["node", "s"])
 
-    scanned = texts.mapInArrow(shingle, "node long, s array<long>").dropDuplicates(["node"])
-    return scanned.join(wanted, "node", "left_semi")
+    return texts.mapInArrow(shingle, "node long, s binary").dropDuplicates(["node"])
+
+
+def _confirmed(texts: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+    """Those of the pairs (hub, leaf) whose full sets are similar, as (a, b).
+
+    Each leaf's set is sent to its hub, where only the hub's own is held; a hub of very many leaves is there several times.
+    """
+    parts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / LEAVES).cast("int").alias("parts"))
+    sized = pairs.join(parts, "hub")
+    leaves = sized.select(F.col("leaf").alias("node"), "hub", F.pmod(F.xxhash64("leaf"), "parts").cast("int").alias("part"), F.lit(True).alias("leaf"))
+    hubs = parts.select(F.col("hub").alias("node"), "hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("leaf"))
+    roles = materialize(leaves.unionByName(hubs))
+    sets = _full_sets(texts, roles.select("node").distinct(), width)
+    sent = sets.join(roles, "node").select("hub", "part", "leaf", "node", "s").repartition("hub", "part")
+    return materialize(sent.sortWithinPartitions("hub", "part", "leaf").mapInArrow(_confirm, "a long, b long"))
 
 
 def _long_list_pairs(met: DataFrame) -> DataFrame:
@@ -304,8 +365,9 @@ def _blocks_left(met: DataFrame, linked: DataFrame) -> tuple[DataFrame, DataFram
     return asked, sides[0].unionByName(sides[1])
 
 
-def _links(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
-    """Confirmed links (a, b) between nodes (node, n, sig); of texts in long lists, as many as join what its links join."""
+def _linked(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, root) of the nodes that links join, from (node, n, sig); of a group of texts that are all similar to some
+    of it, only as many links are confirmed as join it."""
     total = nodes.count()
     common, shares = _common(nodes, total)
     post = _postings(common, shares, total)
@@ -319,24 +381,51 @@ def _links(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     left = nodes.select(F.col("node").alias("a"), F.col("sig").alias("x"))
     right = nodes.select(F.col("node").alias("b"), F.col("sig").alias("y"))
     signed = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    pairs = materialize(signed.mapInArrow(_matching, "a long, b long"))
-
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"))
-    wanted = materialize(ends.unionByName(met.filter("key IS NOT NULL").select(F.col("b").alias("node"))).distinct())
-    sets = materialize(_full_sets(texts, wanted, width))
-    left = sets.select(F.col("node").alias("a"), F.col("s").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("s").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    either = F.size("x") + F.size("y") - both
-    found = pairs.join(left, "a").join(right, "b").filter(100 * both >= LEAST * either).select("a", "b")
-    found = materialize(found)
-
-    asked, rows = _blocks_left(met, components(found))
+    pairs = materialize(signed.mapInArrow(_matching, "a long, b long, matches int"))
+
+    # Each text with the one that it agrees with most; then what this leaves in different components.
+    both = pairs.select("matches", F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p"))
+    best = both.groupBy(F.col("p.a").alias("leaf")).agg(F.max_by("p.b", F.struct("matches", F.col("p.b"))).alias("hub"))
+    found = _confirmed(texts, best.select("hub", "leaf"), width)
+    linked = materialize(components(found))
+    named = linked.select("node", "root")
+    of = lambda end: named.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
+    apart = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left").filter(~(F.coalesce(F.col("root_a") == F.col("root_b"), F.lit(False))))
+    tried = best.select(F.least("hub", "leaf").alias("a"), F.greatest("hub", "leaf").alias("b")).distinct()
+    apart = materialize(apart.join(tried, ["a", "b"], "left_anti").select(F.col("a").alias("hub"), F.col("b").alias("leaf")))
+    if not apart.isEmpty():
+        found = found.unionByName(_confirmed(texts, apart, width))
+        linked = materialize(components(found))
+
+    return _with_long_lists(texts, nodes, met, pairs, found, linked, width)
+
+
+def _with_long_lists(texts, nodes, met, pairs, found, linked, width: int) -> DataFrame:
+    """`linked` with what the members of long lists have in common besides the pairs tried before."""
+    asked, rows = _blocks_left(met, linked)
     if asked.isEmpty():
-        return found
-    grouped = rows.join(sets, "node").select("key", "i", "j", "side", "node", "comp", "s")
-    grouped = grouped.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return materialize(found.unionByName(grouped.mapInArrow(_compare, "a long, b long")))
+        return linked
+    order = ["key", "i", "j"]
+    signed = rows.join(nodes.select("node", "sig"), "node").select(*order, "side", "node", "comp", "sig").repartition(*order)
+    shape = "key long, i string, j string, a long, b long"
+    close = materialize(signed.sortWithinPartitions(*order).mapInArrow(_by_blocks(_agreeing), shape))
+    new = close.filter("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    new = materialize(new.join(pairs, ["a", "b"], "left_anti").select(F.col("a").alias("hub"), F.col("b").alias("leaf")))
+    if not new.isEmpty():
+        found = found.unionByName(_confirmed(texts, new, width))
+        linked = materialize(components(found))
+    dense = close.filter("key IS NOT NULL").select(*order).distinct()
+    if dense.isEmpty():
+        return linked
+    # Texts with many partners: their blocks are compared set by set.
+    rows = rows.drop("comp").join(dense, order, "left_semi").join(linked, "node", "left")
+    rows = materialize(rows.withColumn("comp", F.coalesce("root", F.xxhash64("node"))).drop("root"))
+    wanted = rows.select("node").distinct()
+    sets = _full_sets(texts, wanted, width).join(wanted, "node", "left_semi")
+    full = rows.join(sets, "node").join(nodes.select("node", "sig"), "node")
+    full = full.select(*order, "side", "node", "comp", "sig", "s").repartition(*order).sortWithinPartitions(*order)
+    more = materialize(full.mapInArrow(_by_blocks(_compared), "a long, b long"))
+    return materialize(components(found.unionByName(more)))
 
 
 def near_duplicates(documents: DataFrame, doc: str = "doc_id", text: str = "text", width: int = 2) -> DataFrame:
@@ -355,7 +444,7 @@ def near_duplicates(documents: DataFrame, doc: str = "doc_id", text: str = "text
     rows = materialize(_rows(texts, width))
     some = rows.filter("n > 0").groupBy("node")
     nodes = materialize(some.agg(F.min("doc_id").alias("least"), F.any_value("n").alias("n"), F.any_value("sig").alias("sig")))
-    linked = materialize(components(_links(texts, nodes, width)))
+    linked = _linked(texts, nodes, width)
     named = nodes.select("node", "least").join(linked, "node", "left")
     named = materialize(named.select("node", "least", F.coalesce("root", F.xxhash64("node")).alias("root")))
     smallest = named.groupBy("root").agg(F.min("least").alias("component_id"))

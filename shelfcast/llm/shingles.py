@@ -47,8 +47,3 @@ def set_keys(of: np.ndarray, hashes: np.ndarray, count: int) -> np.ndarray:
         sums = np.zeros(count, np.uint64)
         np.add.at(sums, of, _mixed(hashes * _MIX[0]))
         return _mixed(sums * _MIX[0] + np.bincount(of, minlength=count).astype(np.uint64)).view(np.int64)
-
-
-def lists(of: np.ndarray, values: np.ndarray, count: int) -> pa.ListArray:
-    offsets = np.r_[0, np.cumsum(np.bincount(of, minlength=count))].astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64)))

@@ -37,8 +37,11 @@ def dense_family(least=9, most=17, count=150):
     return rows
 
 
-@pytest.mark.parametrize("small, block, salted", [(24, 256, 50_000), (24, 40, 50_000), (2, 7, 50_000), (24, 20, 30)])
-def test_a_dense_family_equals_all_pairs_compared(spark, monkeypatch, small, block, salted):
+@pytest.mark.parametrize(
+    "small, block, salted, few", [(24, 256, 50_000, 8), (24, 40, 50_000, 0), (2, 7, 50_000, 8), (24, 20, 30, 2)]
+)
+def test_a_dense_family_equals_all_pairs_compared(spark, monkeypatch, small, block, salted, few):
+    monkeypatch.setattr(minhash, "FEW", few)
     monkeypatch.setattr(minhash, "SMALL_LIST", small)
     monkeypatch.setattr(minhash, "BLOCK", block)
     monkeypatch.setattr(minhash, "SALTED", salted)
