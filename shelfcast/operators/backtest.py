@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.metrics import regression_aggregates
 from shelfcast.operators.evaluate import regression_metrics
+from shelfcast.operators.models import side_by_side
 from shelfcast.schema import DATE, SALES, SERIES
 
 
@@ -155,22 +157,33 @@ def backtest_model(
     horizon_days: int = 28,
     step_days: int = 28,
 ) -> DataFrame:
-    """Fit on everything before each fold, score the fold; one fit per fold, on Spark.
+    """Fit on everything before each fold, score the fold; one fit per fold, on Spark, side by side.
 
     ``fit`` takes the training rows and returns a function that adds ``prediction``. The fold
-    bounds (one row per fold) are read by the driver; the filters they become reach the scan.
+    bounds (one row per fold) are read by the driver; the filters they become reach the scan, and where the table
+    is stored by ``sales_month`` the months beyond a fold are not read.
     """
-    results = None
-    for fold in fold_windows(features, folds, horizon_days, step_days).orderBy("fold").collect():
-        day = F.col(DATE)
-        train = features.where(day < F.lit(fold["test_start"]))
-        test = features.where(day.between(F.lit(fold["test_start"]), F.lit(fold["test_end"])))
-        scored = regression_metrics(fit(train)(test)).select(
+    by_month = "sales_month" in features.columns
+    table = features.drop("sales_month")
+
+    def between(first, last) -> DataFrame:
+        day, rows = F.col(DATE), features
+        for bound, keep in ((first, lambda c, v: c >= v), (last, lambda c, v: c <= v)):
+            if bound is not None:
+                rows = rows.where(keep(day, F.lit(bound)))
+                rows = rows.where(keep(F.col("sales_month"), F.lit(bound.strftime("%Y-%m")))) if by_month else rows
+        return rows.select(*[f"`{c}`" for c in table.columns])
+
+    def tested(fold) -> DataFrame:
+        train, test = between(None, fold["train_end"]), between(fold["test_start"], fold["test_end"])
+        return regression_metrics(fit(train)(test)).select(
             F.lit(model).alias("model"),
             *[F.lit(fold[c]).alias(c) for c in ("fold", "train_end", "test_start", "test_end", "rows")],
             "*",
         )
-        results = scored if results is None else results.unionByName(scored)
-    if results is None:
+
+    windows = fold_windows(table, folds, horizon_days, step_days).orderBy("fold").collect()
+    if not windows:
         raise ValueError("No fold has both training and test rows.")
-    return results
+    results = side_by_side([lambda fold=fold: tested(fold) for fold in windows])
+    return reduce(DataFrame.unionByName, results)

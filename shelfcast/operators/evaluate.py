@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.metrics import mae, regression_aggregates, rmse
 from shelfcast.functions.scalars import non_negative
-from shelfcast.operators.ranking import exact_quantiles
+from shelfcast.operators.sketches import column_quantiles
 from shelfcast.schema import SALES, STORE
 
 # Names of the volume thirds.
@@ -28,13 +28,13 @@ def sliced_metrics(df: DataFrame, predicted: str = "prediction") -> DataFrame:
     The thirds are cut at quantiles, right-closed, so equal actuals stay together. Fails when the
     actuals have too few distinct levels for three thirds.
     """
-    edges = exact_quantiles(df, SALES, [0.0, 1 / 3, 2 / 3, 1.0]).scalar()
-    cut = df.withColumn("_edges", edges)
+    edges = column_quantiles(df, [SALES], [0.0, 1 / 3, 2 / 3, 1.0])[SALES] or []
+    cut = df.withColumn("_edges", F.array(*[F.lit(float(e)) for e in edges]))
     distinct = F.size(F.array_distinct("_edges")) == 4
     volume = (
         F.when(~distinct, F.raise_error(F.lit("Too few distinct actuals for three volume slices.")))
-        .when(F.col(SALES) <= F.col("_edges")[1], VOLUME_LABELS[0])
-        .when(F.col(SALES) <= F.col("_edges")[2], VOLUME_LABELS[1])
+        .when(F.col(SALES) <= F.get("_edges", F.lit(1)), VOLUME_LABELS[0])
+        .when(F.col(SALES) <= F.get("_edges", F.lit(2)), VOLUME_LABELS[1])
         .otherwise(VOLUME_LABELS[2])
     )
     slices = F.array(F.concat(F.lit("volume="), volume), F.concat(F.lit("store="), F.col(STORE)))
@@ -59,7 +59,8 @@ def prediction_interval(
     residual quantiles.
     """
     residuals = validation.select((F.col(actual) - F.col(predicted)).alias("residual"))
-    band = exact_quantiles(residuals, "residual", [alpha / 2, 1 - alpha / 2]).scalar()
+    band = column_quantiles(residuals, ["residual"], [alpha / 2, 1 - alpha / 2])["residual"]
+    band = F.array(*[F.lit(b) for b in band]) if band else F.lit(None).cast("array<double>")
     point = F.col(predicted)
     return (
         scored.withColumn("_band", band)

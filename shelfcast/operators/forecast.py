@@ -264,5 +264,5 @@ def score_features(
     needed = {*SCORED_FEATURES, *(feature_columns or [])}
     missing = sorted(needed - set(rows.columns))
     if missing:
-        raise ValueError(f"Missing features: {missing}")
+        raise ValueError(f"The rows lack columns that scoring needs: {missing}")
     return score(rows).withColumn("prediction", non_negative(F.col("prediction")))

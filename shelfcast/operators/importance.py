@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfcast.functions.metrics import rmse
-from shelfcast.operators.models import score
+from shelfcast.operators.models import RidgeModel, TreeModel, score
+from shelfcast.operators.ridge import INTERCEPT
 from shelfcast.schema import KEY, SALES
 
 # Fixed value: shuffles per feature.
@@ -24,14 +24,17 @@ def _ranked(rows: DataFrame, top_n: int | None) -> DataFrame:
     return ranked.where(F.col("rank") <= top_n) if top_n else ranked
 
 
-def native_importance(model: PipelineModel, scored: DataFrame, top_n: int | None = None) -> DataFrame:
-    """Tree importances or absolute coefficients, named after the vector slots of the pipeline."""
-    last = model.stages[-1]
-    vector = last.featureImportances if hasattr(last, "featureImportances") else last.coefficients
-    attributes = scored.schema[last.getFeaturesCol()].metadata.get("ml_attr", {}).get("attrs", {})
-    slots = {a["idx"]: a.get("name", f"feature_{a['idx']}") for kind in attributes.values() for a in kind}
-    values = [(slots.get(i, f"feature_{i}"), abs(float(v))) for i, v in enumerate(vector.toArray())]
-    return _ranked(scored.sparkSession.createDataFrame(values, "feature string, importance double"), top_n)
+def native_importance(model: RidgeModel | TreeModel, top_n: int | None = None) -> DataFrame:
+    """Importances of the tree inputs, or absolute ridge weights, one for each level of a categorical input."""
+    if isinstance(model, RidgeModel):
+        named = F.concat_ws("_", "feature", "level").alias("feature")
+        return _top(model.weights().where(F.col("feature") != INTERCEPT).select(named, F.abs("weight").alias("importance")), top_n)
+    return _ranked(SparkSession.active().createDataFrame(model.importances(), "feature string, importance double"), top_n)
+
+
+def _top(rows: DataFrame, top_n: int | None) -> DataFrame:
+    """Ranks of a table with as many rows as there are levels: with `top_n` only those rows meet in one task."""
+    return _ranked(rows.orderBy(F.desc("importance"), "feature").limit(top_n) if top_n else rows, top_n)
 
 
 def _shuffled(column: str, repeat: int, rows_per_block: int, total: Column) -> Column:
@@ -47,7 +50,7 @@ def _shuffled(column: str, repeat: int, rows_per_block: int, total: Column) -> C
 
 
 def permutation_importance(
-    model: PipelineModel,
+    model: RidgeModel | TreeModel,
     rows: DataFrame,
     features: Sequence[str],
     repeats: int = REPEATS,

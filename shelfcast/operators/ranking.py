@@ -84,9 +84,14 @@ def quantiles_of_counts(
     value: str,
     probabilities: Sequence[float],
     by: Sequence[str] = (),
+    order: str | None = None,
 ) -> DataFrame:
-    """``exact_quantiles`` of a table that already holds one row and a count ``_n`` per value."""
-    ranked = running_totals(counts, by, value, ["_n"])
+    """``exact_quantiles`` of a table that already holds one row and a count ``_n`` per value.
+
+    Rows may also stand for values between two others, with a null value and their place in ``order``; a quantile that
+    falls on such a row is null.
+    """
+    ranked = running_totals(counts, by, order or value, ["_n"])
     exact = [f"((_n_total - 1) * {float(p)!r}D)" for p in probabilities]
     # A position that is whole but for rounding error is whole.
     positions = [

@@ -25,15 +25,15 @@ from shelfcast.operators import (
     models,
     normalize,
     quality,
+    ridge,
     rolling,
     state,
 )
-from shelfcast.config import BoostingConfig
 from shelfcast.functions.scalars import non_negative
 from shelfcast.plans import panels
 from shelfcast.schema import DATE, ITEM, SALES, SERIES, STORE, feature_columns
 from shelfcast.session import materialize
-from shelfcast.sources.tables import table_fingerprint
+from shelfcast.sources.tables import table_fingerprint, with_month
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -287,6 +287,21 @@ def _new_categories(spark, sf):
     return drift.new_levels(*_drift_sides(spark, sf), [STORE, ITEM, "sales_month"])
 
 
+def _feature_sides(spark, sf):
+    """The feature table before and after the cut by date, every column of it."""
+    table = materialize(features.build_features(_stored_panel(spark, sf)))
+    cut = F.date_sub(table.agg(F.max(DATE)).scalar(), 89)
+    return table.where(F.col(DATE) < cut).drop(DATE), table.where(F.col(DATE) >= cut).drop(DATE)
+
+
+def _drift_features(spark, sf):
+    return drift.detect_drift(*_feature_sides(spark, sf))[1]
+
+
+def _drift_features_findings(spark, sf):
+    return drift.detect_drift(*_feature_sides(spark, sf))[0]
+
+
 def _drift_summary(spark, sf):
     return drift.detect_drift(*_drift_sides(spark, sf))[1]
 
@@ -389,43 +404,46 @@ def _score_requests(spark, sf):
 
 # ---- models -------------------------------------------------------------------------------------
 
-# Tree counts of the registered queries; the library defaults are the published settings.
-QUERY_BOOSTING = BoostingConfig(n_estimators=10, max_depth=4, learning_rate=0.2)
+
+def _feature_table(spark, sf):
+    """The feature table, written once by month for all fits that read it."""
+    return materialize(with_month(features.build_features(_stored_panel(spark, sf))), "sales_month")
 
 
 def _feature_parts(spark, sf):
-    # One write of the feature table serves all fits.
-    return normalize.split_parts(materialize(features.build_features(_stored_panel(spark, sf))))
+    return normalize.split_parts(_feature_table(spark, sf).drop("sales_month"))
 
 
 def _model_leaderboard(spark, sf):
     train, validation, test = _feature_parts(spark, sf)
-    columns = feature_columns(train)
-    facts = models.training_facts(train)
-    candidates = {
-        "ridge": models.ridge(columns, facts),
-        "random_forest": models.random_forest(columns, trees=10, max_depth=8),
-        "boosted_trees": models.boosted_trees(columns, QUERY_BOOSTING),
-        "hist_gradient_boosting": models.histogram_boosting(columns, iterations=10),
-    }
-    rows, _ = models.compare_models(train, validation, candidates)
+    rows, _ = models.compare_models(train, validation, models.model_candidates(feature_columns(train)))
     return evaluate.leaderboard([*baseline.baseline_scores(train, validation, test, same_split=True), *rows])
 
 
-def _ridge_predictions(spark, sf):
+def _ridge_on_known(spark, sf):
     train, validation, test = _feature_parts(spark, sf)
     known = train.unionByName(validation)
-    fitted = models.fit(models.ridge(feature_columns(known), models.training_facts(known)), known)
-    return models.score(fitted, test).select(DATE, *SERIES, SALES, "prediction")
+    return models.fit(models.ridge(feature_columns(known)), known), known, test
+
+
+def _ridge_predictions(spark, sf):
+    fitted, _, test = _ridge_on_known(spark, sf)
+    scored = models.score(fitted, test)
+    # Two solvers of one system agree to about nine places.
+    return scored.select(DATE, *SERIES, SALES, F.round("prediction", 4).alias("prediction"))
+
+
+def _ridge_optimality(spark, sf):
+    fitted, known, _ = _ridge_on_known(spark, sf)
+    return ridge.optimality(fitted, known)
 
 
 def _backtest_boosted(spark, sf):
-    train, validation, test = _feature_parts(spark, sf)
-    table = train.unionByName(validation).unionByName(test)
-    columns = feature_columns(table)
+    table = _feature_table(spark, sf)
+    columns = feature_columns(table.drop("sales_month"))
 
     def fit(part):
-        fitted = models.fit(models.boosted_trees(columns, QUERY_BOOSTING), part)
+        fitted = models.fit(models.boosted_trees(columns, models.BACKTEST_BOOSTING), part)
         return lambda rows: models.score(fitted, rows)
 
     return backtest.backtest_model(table, fit, "boosted_trees")
@@ -433,20 +451,19 @@ def _backtest_boosted(spark, sf):
 
 def _param_search(spark, sf):
     train, validation, _ = _feature_parts(spark, sf)
-    return models.param_search(train, validation, models.search_space(trials=3, trees=(5, 10)))
+    return models.param_search(train, validation, models.search_space())
 
 
 def _importance(spark, sf):
     train, validation, _ = _feature_parts(spark, sf)
     columns = feature_columns(train)
-    fitted = models.fit(models.ridge(columns, models.training_facts(train)), train)
+    fitted = models.fit(models.ridge(columns), train)
     return importance.permutation_importance(fitted, validation, columns)
 
 
 def _native_importance(spark, sf):
-    train, validation, _ = _feature_parts(spark, sf)
-    fitted = models.fit(models.boosted_trees(feature_columns(train), QUERY_BOOSTING), train)
-    return importance.native_importance(fitted, fitted.transform(validation))
+    train, _, _ = _feature_parts(spark, sf)
+    return importance.native_importance(models.fit(models.boosted_trees(feature_columns(train)), train))
 
 
 # ---- lifecycle ----------------------------------------------------------------------------------
@@ -542,6 +559,8 @@ QUERIES: dict[str, Query] = {
     "numeric_drift": _numeric_drift,
     "categorical_drift": _categorical_drift,
     "new_categories": _new_categories,
+    "drift_features": _drift_features,
+    "drift_features_findings": _drift_features_findings,
     "drift_summary": _drift_summary,
     "drift_findings": _drift_findings,
     "drift_status": _drift_status,
@@ -558,6 +577,7 @@ QUERIES: dict[str, Query] = {
     "score_requests": _score_requests,
     "model_leaderboard": _model_leaderboard,
     "ridge_predictions": _ridge_predictions,
+    "ridge_optimality": _ridge_optimality,
     "backtest_boosted": _backtest_boosted,
     "param_search": _param_search,
     "permutation_importance": _importance,

@@ -199,6 +199,53 @@ DERIVED = [*LAG_COLUMNS, *LAG_RATIOS, *ROLLING_COLUMNS, *HISTORY_NAMES, *PATTERN
 FEATURE_SELECT = f"""SELECT {d("date", "date")}, store, item, sales, {", ".join(c for c in CALENDAR)},
   is_us_holiday, days_to_nearest_us_holiday, {", ".join(r(c, c) for c in DERIVED)} FROM featured"""
 
+# ---- ridge in closed form -----------------------------------------------------------------------
+
+# The levels that the panel of regions and part types can have in the categorical inputs.
+RIDGE_LEVELS = {
+    "store": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"],
+    "item": ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"],
+    "day_of_week": [str(k) for k in range(7)],
+    "month": [str(k) for k in range(1, 13)],
+    "quarter": [str(k) for k in range(1, 5)],
+    "is_us_holiday": ["0", "1"],
+}
+RIDGE_NUMBERS = [c for c in CALENDAR if c not in RIDGE_LEVELS] + ["days_to_nearest_us_holiday", *DERIVED]
+RIDGE_WIDTH = 1 + sum(map(len, RIDGE_LEVELS.values())) + len(RIDGE_NUMBERS)
+_COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in DERIVED)
+_INPUTS = ["1.0", *[f"({c} = '{v}')::DOUBLE" for c, values in RIDGE_LEVELS.items() for v in values]]
+_INPUTS += [f"(({c} - m_{c}) / s_{c})" for c in RIDGE_NUMBERS]
+_PLACES = range(RIDGE_WIDTH)
+_ROWS = ", ".join(
+    f"[{', '.join(f'g[{max(i, j) * (max(i, j) + 1) // 2 + min(i, j) + 1}]' + (' + 1' if i == j > 0 else '') for j in _PLACES)}, b[{i + 1}]]"
+    for i in _PLACES
+)
+
+# All weights at once by elimination: the matrix is positive definite, so pivots are taken in order.
+RIDGE_ROWS = (
+    ALL_FEATURES
+    + f""",
+complete AS MATERIALIZED (SELECT * FROM featured WHERE {_COMPLETE}),
+known AS MATERIALIZED (SELECT * FROM complete WHERE date < (SELECT max(date) - 89 FROM complete))"""
+)
+RIDGE = (
+    RIDGE_ROWS
+    + f""",
+scale AS (SELECT {", ".join(f"avg({c}) AS m_{c}, coalesce(nullif(stddev_pop({c}), 0), 1) AS s_{c}" for c in RIDGE_NUMBERS)} FROM known),
+design AS MATERIALIZED (SELECT date, store, item, sales, {", ".join(f"{x} AS x{i}" for i, x in enumerate(_INPUTS))} FROM complete, scale),
+learned AS (SELECT * FROM design WHERE date < (SELECT max(date) - 89 FROM complete)),
+sums AS (SELECT [{", ".join(f"sum(x{i} * x{j})" for i in _PLACES for j in range(i + 1))}] AS g,
+                [{", ".join(f"sum(x{i} * sales)" for i in _PLACES)}] AS b FROM learned),
+solving AS (
+  SELECT 1 AS k, [{_ROWS}] AS m FROM sums
+  UNION ALL
+  SELECT k + 1, list_transform(m, lambda row, i: CASE WHEN i = k THEN list_transform(row, lambda v: v / p[k])
+           ELSE list_transform(range(1, {RIDGE_WIDTH + 2}), lambda j: row[j] - row[k] / p[k] * p[j]) END)
+  FROM (SELECT k, m, m[k] AS p FROM solving) WHERE k <= {RIDGE_WIDTH}
+),
+weights AS (SELECT list_transform(m, lambda row: row[{RIDGE_WIDTH + 1}]) AS w FROM solving WHERE k = {RIDGE_WIDTH + 1})"""
+)
+
 # ---- evaluation pieces --------------------------------------------------------------------------
 
 
@@ -311,6 +358,38 @@ CATEGORICAL_SELECT = ", ".join(
     [*[n(c, c) for c in ("reference_unique", "current_unique")], *[r(c, c) for c in ["new_category_rate", *RATE_NAMES]]]
 )
 
+DRIFT_SUMMARY = f"""
+SELECT feature, 'numeric' AS feature_type, {NUMERIC_SELECT}, cast(NULL AS BIGINT) AS reference_unique,
+  cast(NULL AS BIGINT) AS current_unique, cast(NULL AS DOUBLE) AS new_category_rate FROM numeric_drift
+UNION ALL BY NAME
+SELECT feature, 'categorical' AS feature_type, {CATEGORICAL_SELECT} FROM categorical_drift"""
+DRIFT_FINDINGS = f"""
+SELECT feature, kind, {r("value", "value")}, cast(threshold AS DOUBLE) AS threshold, 'warning' AS severity, description
+FROM findings WHERE value >= threshold"""
+
+# Every column of the feature table.
+_TAIL = BUSINESS[BUSINESS.index("q AS (") :]
+_NUMBERS = ["sales", *RIDGE_NUMBERS]
+FEATURE_DRIFT = (
+    ALL_FEATURES
+    + f""",
+sided AS (SELECT *, date < (SELECT max(date) - 89 FROM sales) AS ref FROM featured WHERE {_COMPLETE}),
+cells AS (SELECT ref, feature, value FROM (SELECT ref, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _NUMBERS)} FROM sided)
+          UNPIVOT INCLUDE NULLS (value FOR feature IN ({", ".join(_NUMBERS)}))),
+numbers AS (SELECT * FROM cells WHERE value IS NOT NULL),
+missing AS (SELECT feature, avg(CASE WHEN ref THEN (value IS NULL)::INT END) AS rm,
+                   avg(CASE WHEN NOT ref THEN (value IS NULL)::INT END) AS cm FROM cells GROUP BY feature),
+"""
+    + _TAIL.replace("FROM sided UNPIVOT (value FOR feature IN (store, item, sales_month))", f"FROM sided UNPIVOT (value FOR feature IN ({', '.join(RIDGE_LEVELS)}))")
+    .replace("any_value(psi) AS psi, 0.0 AS reference_missing_rate, 0.0 AS current_missing_rate\n  FROM numbers JOIN psi USING (feature)",
+             "any_value(psi) AS psi, any_value(rm) AS reference_missing_rate, any_value(cm) AS current_missing_rate\n"
+             "  FROM numbers JOIN psi USING (feature) JOIN missing USING (feature)")
+    .replace("/ stddev_samp(CASE WHEN ref THEN value END)", "/ coalesce(nullif(stddev_samp(CASE WHEN ref THEN value END), 0), 1)")
+    .replace("  UNION ALL SELECT feature, 'new_category_rate'", """  UNION ALL SELECT feature, 'missing_rate_shift', abs(current_missing_rate - reference_missing_rate), 0.05,
+         'Missing rate changed materially.' FROM numeric_drift
+  UNION ALL SELECT feature, 'new_category_rate'""")
+)
+
 # ---- state and serving pieces -------------------------------------------------------------------
 
 STATE = SALES + """,
@@ -630,14 +709,10 @@ ORACLE: dict[str, str] = {
     "numeric_drift": with_(BUSINESS, f"SELECT feature, {NUMERIC_SELECT} FROM numeric_drift"),
     "categorical_drift": with_(BUSINESS, f"SELECT feature, {CATEGORICAL_SELECT} FROM categorical_drift"),
     "new_categories": with_(BUSINESS, "SELECT feature, value, cn AS rows FROM counted WHERE rn = 0"),
-    "drift_summary": with_(BUSINESS, f"""
-        SELECT feature, 'numeric' AS feature_type, {NUMERIC_SELECT}, cast(NULL AS BIGINT) AS reference_unique,
-          cast(NULL AS BIGINT) AS current_unique, cast(NULL AS DOUBLE) AS new_category_rate FROM numeric_drift
-        UNION ALL BY NAME
-        SELECT feature, 'categorical' AS feature_type, {CATEGORICAL_SELECT} FROM categorical_drift"""),
-    "drift_findings": with_(BUSINESS, f"""
-        SELECT feature, kind, {r("value", "value")}, cast(threshold AS DOUBLE) AS threshold, 'warning' AS severity, description
-        FROM findings WHERE value >= threshold"""),
+    "drift_summary": with_(BUSINESS, DRIFT_SUMMARY),
+    "drift_findings": with_(BUSINESS, DRIFT_FINDINGS),
+    "drift_features": with_(FEATURE_DRIFT, DRIFT_SUMMARY),
+    "drift_features_findings": with_(FEATURE_DRIFT, DRIFT_FINDINGS),
     "drift_status": with_(BUSINESS, """
         SELECT CASE WHEN count(*) > 0 THEN 'warning' ELSE 'ok' END AS status, count(*) AS finding_count
         FROM findings WHERE value >= threshold"""),
@@ -681,6 +756,15 @@ ORACLE: dict[str, str] = {
           {r(BLEND, "prediction")} FROM served s JOIN asked USING (store, item, forecast_date)"""),
     "score_requests": with_(SERVED, f"""
         SELECT store, item, {d("forecast_date", "forecast_date")}, {r(BLEND, "prediction")} FROM served"""),
+    "ridge_predictions": "WITH RECURSIVE" + with_(RIDGE, f"""
+SELECT {d("date", "date")}, store, item, sales, {r(" + ".join(f"x{i} * w[{i + 1}]" for i in _PLACES), "prediction", 4)}
+FROM design, weights WHERE date >= (SELECT max(date) - 89 FROM complete)""").removeprefix("WITH"),
+    "ridge_optimality": with_(RIDGE_ROWS, """
+SELECT '(intercept)' AS feature, CAST(NULL AS VARCHAR) AS level, 0.0::DOUBLE AS gap UNION ALL
+""" + " UNION ALL ".join(
+        [f"SELECT DISTINCT '{c}', {c}, 0.0::DOUBLE FROM known" for c in RIDGE_LEVELS]
+        + [f"SELECT '{c}', CAST(NULL AS VARCHAR), 0.0::DOUBLE" for c in RIDGE_NUMBERS]
+    )),
     "promotion_decision": with_(CANDIDATES, f"""
         SELECT {n("version", "candidate_version")}, cast(2 AS BIGINT) AS previous_version,
           coalesce(rmse IS NOT NULL AND (fresh OR gain > 0.01), false) AS promoted,

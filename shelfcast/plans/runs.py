@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,7 +57,7 @@ def train(
     tables.write_document(split_windows(chronological_split(table.select(DATE), *days)), f"{out}/splits")
 
     columns = feature_columns(table)
-    pipelines = models.model_candidates(columns, models.training_facts(train_part))
+    pipelines = models.model_candidates(columns)
     pipelines["boosted_trees"] = models.boosted_trees(columns, config.boosting)
     if candidates:
         pipelines = {name: pipelines[name] for name in candidates}
@@ -69,10 +68,8 @@ def train(
     chosen = evaluate.select_model(board, list(pipelines)).first()["model"]
 
     known = train_part.unionByName(validation)
-    if chosen == "ridge":
-        pipelines[chosen] = models.ridge(columns, models.training_facts(known))
     production = models.fit(pipelines[chosen], known)
-    production.write().overwrite().save(f"{out}/model")
+    models.save_model(production, f"{out}/model")
 
     scored = evaluate.prediction_interval(
         models.score(fitted[chosen], validation), models.score(production, test)
@@ -81,9 +78,7 @@ def train(
     predictions = tables.read_table(spark, f"{out}/predictions")
     tables.write_table(evaluate.regression_metrics(predictions), f"{out}/metrics")
     tables.write_table(evaluate.sliced_metrics(predictions), f"{out}/slices")
-    tables.write_table(
-        importance.native_importance(production, production.transform(validation.limit(1))), f"{out}/importance"
-    )
+    tables.write_table(importance.native_importance(production), f"{out}/importance")
     _register(spark, out, chosen, config)
     return chosen
 
@@ -136,7 +131,7 @@ def registry(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
 
 def forecast_run(spark: SparkSession, out: str, days: int = 28) -> DataFrame:
     """Forecast every series with the saved model and state; written and returned."""
-    model = PipelineModel.load(f"{out}/model")
+    model = models.load_model(f"{out}/model")
     state = tables.load_state(spark, f"{out}/state")
     result = forecast.forecast_next_days(state, lambda rows: models.score(model, rows), days)
     tables.write_table(result, f"{out}/forecast")

@@ -63,7 +63,7 @@ def test_forecast_grid_has_every_series_and_day(daily):
     assert rows.agg(F.min("forecast_date")).first()[0] == dt.date(2024, 1, 31)
     with pytest.raises(ValueError, match="between 1 and 90"):
         forecast.forecast_series(kept, "1", "1", lambda f: f, days=91)
-    with pytest.raises(ValueError, match="Missing features"):
+    with pytest.raises(ValueError, match="lack columns"):
         forecast.score_features(daily(1, 1, 1), lambda f: f)
 
 
