@@ -129,17 +129,36 @@ def example_series(df: DataFrame, window: int = 28) -> DataFrame:
 def lag_autocorrelation(df: DataFrame, max_lag: int = 56) -> DataFrame:
     """Mean over the series of the correlation of sales with its own lag, for lags 1..max_lag.
 
-    The past of a row is unfolded and summed per (series, lag) inside the task that built it, so
-    only one row per series and lag leaves the task. Series without variance are skipped.
+    A series is one ordered array, as long as the calendar at most; each lag takes the products of two slices of it. One
+    row per series and lag goes on. Series without variance are skipped.
     """
-    past = F.reverse(F.collect_list(SALES).over(series_window().rowsBetween(-max_lag, -1)))
-    unfolded = df.select(*SERIES, SALES, past.alias("_past")).select(
-        *SERIES, SALES, F.posexplode("_past").alias("_back", "_value")
-    )
-    per_series = unfolded.groupBy(*SERIES, "_back").agg(F.corr(SALES, "_value").alias("_corr"))
-    return per_series.groupBy((F.col("_back") + 1).alias("lag")).agg(
-        F.avg(F.nanvl(F.col("_corr"), F.lit(None))).alias("correlation")
-    )
+    series = df.groupBy(*SERIES).agg(F.array_sort(F.collect_list(F.struct(DATE, SALES))).alias("_days"))
+    # Less the mean of the series, so that the sums below stay small.
+    series = series.select(F.transform("_days", lambda d: d[SALES]).alias("_x"))
+    mean = F.aggregate("_x", F.lit(0.0), lambda a, v: a + v) / F.size("_x")
+    centred = series.select(F.transform("_x", lambda v: v - mean).alias("_x"))
+
+    def total(values: Column) -> Column:
+        return F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+
+    def correlation(lag: Column) -> Column:
+        n = F.size("_x") - lag
+        now, past = F.slice("_x", lag + 1, n), F.slice("_x", F.lit(1), n)
+        sums = F.struct(
+            n.alias("n"), total(now).alias("y"), total(past).alias("x"),
+            total(F.transform(now, lambda v: v * v)).alias("yy"), total(F.transform(past, lambda v: v * v)).alias("xx"),
+            total(F.zip_with(now, past, lambda a, b: a * b)).alias("xy"),
+        )
+        return F.struct(lag.alias("lag"), sums.alias("s"))
+
+    lags = F.filter(F.sequence(F.lit(1), F.lit(max_lag)), lambda k: k < F.size("_x"))
+    per_series = centred.select(F.inline(F.transform(lags, correlation)))
+    s = {name: F.col(f"s.{name}") for name in ("n", "x", "y", "xx", "yy", "xy")}
+    spread = (s["xx"] - s["x"] * s["x"] / s["n"]) * (s["yy"] - s["y"] * s["y"] / s["n"])
+    # What is left of a constant stretch after rounding is no variance.
+    varies = (s["n"] > 1) & (spread > 1e-18 * (s["xx"] + 1) * (s["yy"] + 1))
+    corr = F.when(varies, (s["xy"] - s["x"] * s["y"] / s["n"]) / F.sqrt(F.when(varies, spread)))
+    return per_series.groupBy("lag").agg(F.avg(corr).alias("correlation"))
 
 
 def pooled_lag_correlation(df: DataFrame, lags: Sequence[int] = LAGS) -> DataFrame:

@@ -133,7 +133,7 @@ def quantiles_and_counts(
         found |= {c: quantiles[c] for c in good}
         used |= {c: held[c] for c in good}
         tables.append(counts.where(F.col("feature").isin(good)))
-        left, facts, margin = [c for c in held if c not in good], None, min(1.0, margin * 8)
+        left, facts, margin = [c for c in held if c not in good], None, min(1.0, max(margin * 8, 1e-3))
     whole = None
     for table in tables:
         whole = table if whole is None else whole.unionByName(table)

@@ -504,6 +504,50 @@ def _registry_status(spark, sf):
     return lifecycle.registry_status(candidates, log)
 
 
+def _logged(spark, sf):
+    """The versions in the order in which they were registered, each judged against what was in production then."""
+    candidates = candidates_from(spark, sf)
+    log = lifecycle.empty_decisions(spark)
+    for version in (1, 2, 3, 4):
+        chosen = candidates.where(F.col("version") == version)
+        champion = lifecycle.active_model(candidates, log)
+        decided = lifecycle.promotion_decision(chosen, champion, "rmse", 0.01)
+        # A clock that is the version keeps the run repeatable.
+        log = materialize(log.unionByName(decided.withColumn("decided_at", F.timestamp_seconds(F.lit(version)))))
+    return candidates, log
+
+
+def _registered(spark, sf):
+    """The row that registering the moving average next would append."""
+    candidates = candidates_from(spark, sf).select("version", "name", "metrics")
+    panel = _stored_panel(spark, sf)
+    parts = normalize.split_parts(rolling.add_rolling_features(panel, [7]))
+    board = evaluate.leaderboard(baseline.baseline_scores(*parts, same_split=True))
+    metrics = board.where("model = 'moving_average_7'").select("mae", "rmse")
+    dataset = panel.agg(F.count(F.lit(1)).alias("dataset_rows"), F.min(DATE).alias("dataset_start"), F.max(DATE).alias("dataset_end"))
+    dataset = dataset.withColumn("dataset_hash", F.md5(F.col("dataset_rows").cast("string")))
+    row = lifecycle.new_candidate(candidates, "moving_average_7", materialize(metrics), dataset)
+    shown = ["version", "name", "dataset_hash", "dataset_rows", "dataset_start", "dataset_end"]
+    return row.select(*shown, F.element_at("metrics", "rmse").alias("rmse"), F.element_at("metrics", "mae").alias("mae"))
+
+
+def _promotions(spark, sf):
+    return _logged(spark, sf)[1].drop("decided_at")
+
+
+def _candidate_status(spark, sf):
+    return lifecycle.candidate_status(*_logged(spark, sf))
+
+
+def _active_model(spark, sf):
+    return lifecycle.active_model(*_logged(spark, sf)).select("version", "name", F.element_at("metrics", "rmse").alias("rmse"))
+
+
+def _stored_metrics(spark, sf):
+    """Errors computed again from stored predictions, as a later run reads them."""
+    return evaluate.regression_metrics(materialize(_seasonal(spark, sf)))
+
+
 QUERIES: dict[str, Query] = {
     "dataset_metadata": _metadata,
     "table_fingerprint": _fingerprint,
@@ -583,7 +627,12 @@ QUERIES: dict[str, Query] = {
     "permutation_importance": _importance,
     "native_importance": _native_importance,
     "promotion_decision": _promotion,
+    "stored_metrics": _stored_metrics,
     "registry_status": _registry_status,
+    "register_candidate": _registered,
+    "promotion_log": _promotions,
+    "candidate_status": _candidate_status,
+    "active_model": _active_model,
 }
 
 # The same operators over many short series.

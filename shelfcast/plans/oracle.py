@@ -495,12 +495,41 @@ hashed AS (SELECT md5(count(*) || '|' || min(date) || '|' || max(date)) AS h FRO
 candidates AS (
   SELECT version, name, rmse, h FROM scored, hashed
   UNION ALL SELECT 3, name, rmse, 'new-' || h FROM scored, hashed WHERE version = 1
-  UNION ALL SELECT 4, name, NULL, h FROM scored, hashed WHERE version = 1),
-champion AS (SELECT * FROM candidates WHERE version = 2),
-judged AS (SELECT c.*, (m.rmse - c.rmse) / greatest(m.rmse, 1e-8) AS gain, c.h <> m.h AS fresh
-           FROM candidates c, champion m)"""
+  UNION ALL SELECT 4, name, NULL, h FROM scored, hashed WHERE version = 1)"""
 )
 
+
+def _verdict(c: str, m: str) -> str:
+    """(promoted, reason) of a candidate row against a champion row, which may be all null."""
+    gain = f"(({m}.rmse - {c}.rmse) / greatest({m}.rmse, 1e-8))"
+    return f"""
+          coalesce({c}.rmse IS NOT NULL AND ({m}.rmse IS NULL OR {c}.h <> {m}.h OR {gain} > 0.01), false) AS promoted,
+          CASE WHEN {c}.rmse IS NULL THEN 'candidate missing metric rmse'
+               WHEN {m}.rmse IS NULL THEN 'no current production champion'
+               WHEN {c}.h <> {m}.h THEN 'candidate was trained on a new verified dataset version'
+               WHEN {gain} > 0.01 THEN printf('rmse improved by %.2f%%', {gain} * 100)
+               ELSE printf('rmse improvement %.2f%% below threshold 1.00%%', {gain} * 100) END AS reason"""
+
+
+# Each version in turn against what is in production when it comes.
+PROMOTIONS = f""",
+steps AS (
+  SELECT 0 AS version, NULL::INT AS before, NULL::INT AS live, false AS promoted, '' AS reason
+  UNION ALL
+  SELECT version, before, CASE WHEN promoted THEN version ELSE before END, promoted, reason FROM (
+    SELECT c.version, s.live AS before, {_verdict("c", "m")}
+    FROM steps s JOIN candidates c ON c.version = s.version + 1 LEFT JOIN candidates m ON m.version = s.live))"""
+
+
+def _live() -> str:
+    """Version 1 is judged without a champion, the others against version 1 and without any gain asked for."""
+    verdict = _verdict("c", "m").replace("> 0.01", "> 0.0")
+    return f""",
+judged_at_once AS (
+  SELECT c.version AS step, CASE WHEN promoted THEN c.version END AS live FROM (
+    SELECT c.*, {verdict} FROM candidates c LEFT JOIN candidates m ON m.version = 1 AND c.version > 1) c WHERE promoted)"""
+
+
 CORRELATIONS = SALES + ",\n" + """
 lagged AS (SELECT s.*, k AS lag, x.sales AS past FROM
   (SELECT *, row_number() OVER (PARTITION BY store, item ORDER BY date) AS i FROM sales) s
@@ -766,18 +795,36 @@ SELECT '(intercept)' AS feature, CAST(NULL AS VARCHAR) AS level, 0.0::DOUBLE AS
         + [f"SELECT '{c}', CAST(NULL AS VARCHAR), 0.0::DOUBLE" for c in RIDGE_NUMBERS]
     )),
     "promotion_decision": with_(CANDIDATES, f"""
-        SELECT {n("version", "candidate_version")}, cast(2 AS BIGINT) AS previous_version,
-          coalesce(rmse IS NOT NULL AND (fresh OR gain > 0.01), false) AS promoted,
-          CASE WHEN rmse IS NULL THEN 'candidate missing metric rmse'
-               WHEN fresh THEN 'candidate was trained on a new verified dataset version'
-               WHEN gain > 0.01 THEN printf('rmse improved by %.2f%%', gain * 100)
-               ELSE printf('rmse improvement %.2f%% below threshold 1.00%%', gain * 100) END AS reason
-        FROM judged"""),
-    "registry_status": with_(CANDIDATES, f"""
-        SELECT count(*) AS candidate_count, {n("max(version)", "latest_version")},
-          arg_max(name, version) AS latest_name,
-          cast((SELECT CASE WHEN max(version) >= 3 THEN 3 END FROM candidates) AS BIGINT) AS production_version
-        FROM candidates"""),
+        SELECT {n("c.version", "candidate_version")}, {n("m.version", "previous_version")}, {_verdict("c", "m")}
+        FROM candidates c, candidates m WHERE m.version = 2"""),
+    "registry_status": "WITH RECURSIVE" + with_(CANDIDATES + _live(), f"""
+        SELECT count(*) AS candidate_count, {n("max(version)", "latest_version")}, arg_max(name, version) AS latest_name,
+          {n("(SELECT arg_max(live, step) FROM judged_at_once)", "production_version")}
+        FROM candidates""").removeprefix("WITH"),
+    "promotion_log": "WITH RECURSIVE" + with_(CANDIDATES + PROMOTIONS, f"""
+        SELECT {n("version", "candidate_version")}, {n("before", "previous_version")}, promoted, reason
+        FROM steps WHERE version > 0""").removeprefix("WITH"),
+    "candidate_status": "WITH RECURSIVE" + with_(CANDIDATES + PROMOTIONS, f"""
+        SELECT {n("c.version", "version")}, c.name,
+          CASE WHEN c.version = (SELECT arg_max(live, version) FROM steps) THEN 'production'
+               WHEN s.promoted THEN 'archived' ELSE 'candidate' END AS status
+        FROM candidates c JOIN steps s ON s.version = c.version""").removeprefix("WITH"),
+    "active_model": "WITH RECURSIVE" + with_(CANDIDATES + PROMOTIONS, f"""
+        SELECT {n("version", "version")}, name, {r("rmse", "rmse")} FROM candidates
+        WHERE version = (SELECT arg_max(live, version) FROM steps)""").removeprefix("WITH"),
+    "register_candidate": with_(BOTH_NAIVE + ROLLED, f"""
+        SELECT {n("5", "version")}, 'moving_average_7' AS name, md5(cast(k AS VARCHAR)) AS dataset_hash, k AS dataset_rows,
+          {d("a", "dataset_start")}, {d("b", "dataset_end")},
+          {r("(SELECT sqrt(avg((sales - prediction) ** 2)) FROM averaged)", "rmse")},
+          {r("(SELECT avg(abs(sales - prediction)) FROM averaged)", "mae")}
+        FROM (SELECT count(*) AS k, min(date) AS a, max(date) AS b FROM sales)"""),
+    "stored_metrics": with_(TEST_NAIVE, f"SELECT {metrics()} FROM tested"),
+    "table_fingerprint": with_(SALES, """
+        SELECT count(*) AS rows, """ + ", ".join(
+        f"cast(sum(cast(('0x' || substr(h, {8 * k + 1}, 8)) AS UBIGINT)::HUGEINT) AS VARCHAR) AS lane_{k}" for k in range(4)
+    ) + " FROM (SELECT md5(concat_ws(',', " + ", ".join(
+        f"concat(length({t}), ':', {t})" for t in ("cast(date AS VARCHAR)", "item", "cast(cast(sales AS DECIMAL(38, 10)) AS VARCHAR)", "store")
+    ) + ")) AS h FROM sales)"),
 }
 
 _SERIES = "r_name AS store, p_type AS item"

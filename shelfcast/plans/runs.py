@@ -85,48 +85,44 @@ def train(
 
 def _register(spark: SparkSession, out: str, name: str, config: Config) -> None:
     """Append the candidate and the promotion decision to the two logs."""
-    candidates, decisions = registry(spark, out)
     clean = tables.read_table(spark, f"{out}/clean")
     mark = tables.table_fingerprint(clean)
     dataset = clean.agg(F.min(DATE).alias("dataset_start"), F.max(DATE).alias("dataset_end")).withColumns(
         {
-            "dataset_hash": mark.select(F.concat_ws(":", "rows", "hash_xor", "hash_sum")).scalar(),
+            "dataset_hash": mark.select(F.concat_ws(":", *mark.columns)).scalar(),
             "dataset_rows": mark.select("rows").scalar(),
         }
     )
     board = tables.read_table(spark, f"{out}/leaderboard").select("model", "mae", "rmse", "mape", "smape")
-    row = lifecycle.new_candidate(
-        candidates,
-        name,
-        tables.read_table(spark, f"{out}/metrics"),
-        dataset,
-        f"{out}/model",
-        board.where(F.col("model") == name).drop("model"),
-        board.where(F.col("model") == "seasonal_naive_7").drop("model"),
+    metrics = tables.read_table(spark, f"{out}/metrics")
+    scores = [board.where(F.col("model") == model).drop("model") for model in (name, "seasonal_naive_7")]
+    tables.commit_entry(
+        spark,
+        f"{out}/candidates",
+        lifecycle.CANDIDATE_SCHEMA,
+        lambda log: lifecycle.new_candidate(log, name, metrics, dataset, f"{out}/model", *scores),
     )
-    tables.append_log(row, f"{out}/candidates")
-    candidates, decisions = registry(spark, out)
-    decision = lifecycle.promote_candidate(
-        candidates,
-        decisions,
-        metric=config.registry.primary_metric,
-        min_improvement=config.registry.minimum_relative_improvement,
+    candidates, _ = registry(spark, out)
+    tables.commit_entry(
+        spark,
+        f"{out}/decisions",
+        lifecycle.DECISION_SCHEMA,
+        lambda log: lifecycle.promote_candidate(
+            candidates,
+            log,
+            metric=config.registry.primary_metric,
+            min_improvement=config.registry.minimum_relative_improvement,
+        ),
     )
-    tables.append_log(decision, f"{out}/decisions")
-
-
-def _log(spark: SparkSession, path: str, empty: DataFrame) -> DataFrame:
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location)
-    return tables.read_log(spark, path, empty.schema) if exists else empty
 
 
 def registry(spark: SparkSession, out: str) -> tuple[DataFrame, DataFrame]:
-    """(candidates, decisions) as logged so far."""
-    return (
-        _log(spark, f"{out}/candidates", lifecycle.empty_candidates(spark)),
-        _log(spark, f"{out}/decisions", lifecycle.empty_decisions(spark)),
-    )
+    """(candidates, decisions) in effect so far."""
+    found = [
+        tables.read_entries(spark, f"{out}/{name}", schema).drop("entry", "token")
+        for name, schema in (("candidates", lifecycle.CANDIDATE_SCHEMA), ("decisions", lifecycle.DECISION_SCHEMA))
+    ]
+    return found[0], found[1]
 
 
 def forecast_run(spark: SparkSession, out: str, days: int = 28) -> DataFrame:
