@@ -129,8 +129,8 @@ def read_entries(spark: SparkSession, path: str, schema: T.StructType | str) ->
         written = spark.read.schema(shape).json(path)
     except AnalysisException:  # nothing was written yet
         written = spark.createDataFrame([], shape)
-    first = written.groupBy("entry").agg(F.min(F.struct("token", "row")).alias("first"))
-    return first.select("entry", F.col("first.token").alias("token"), "first.row.*")
+    first = written.groupBy("entry").agg(F.min("token").alias("token"), F.min_by("row", "token").alias("row"))
+    return first.select("entry", "token", "row.*")
 
 
 def _struct(spark: SparkSession, schema: T.StructType | str) -> str:
