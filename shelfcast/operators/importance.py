@@ -19,7 +19,8 @@ BLOCK_ROWS = 4096
 
 def _ranked(rows: DataFrame, top_n: int | None) -> DataFrame:
     """Rank by importance. The table has one row per model input, so one task ranks it."""
-    order = Window.orderBy(F.desc("importance"), "feature")
+    # Solvers differ beyond some places, and the two levels of a pair have the same weight: such ties go by name.
+    order = Window.orderBy(F.desc(F.round("importance", 6)), "feature")
     ranked = rows.withColumn("rank", F.row_number().over(order))
     return ranked.where(F.col("rank") <= top_n) if top_n else ranked
 

@@ -184,6 +184,8 @@ def random_forest(columns: Sequence[str], trees: int = FOREST_TREES, max_depth:
         maxDepth=max_depth,
         minInstancesPerNode=FOREST_MIN_ROWS,
         featureSubsetStrategy="all",
+        maxMemoryInMB=1024,  # deep levels have many nodes; each pass over the rows grows as many as fit
+        cacheNodeIds=True,
         seed=SEED,
     )
     return Trees(tuple(columns), model)

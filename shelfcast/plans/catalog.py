@@ -449,11 +449,6 @@ def _backtest_boosted(spark, sf):
     return backtest.backtest_model(table, fit, "boosted_trees")
 
 
-def _param_search(spark, sf):
-    train, validation, _ = _feature_parts(spark, sf)
-    return models.param_search(train, validation, models.search_space())
-
-
 def _importance(spark, sf):
     train, validation, _ = _feature_parts(spark, sf)
     columns = feature_columns(train)
@@ -462,8 +457,8 @@ def _importance(spark, sf):
 
 
 def _native_importance(spark, sf):
-    train, _, _ = _feature_parts(spark, sf)
-    return importance.native_importance(models.fit(models.boosted_trees(feature_columns(train)), train))
+    fitted, _, _ = _ridge_on_known(spark, sf)
+    return importance.native_importance(fitted)
 
 
 # ---- lifecycle ----------------------------------------------------------------------------------
@@ -623,7 +618,6 @@ QUERIES: dict[str, Query] = {
     "ridge_predictions": _ridge_predictions,
     "ridge_optimality": _ridge_optimality,
     "backtest_boosted": _backtest_boosted,
-    "param_search": _param_search,
     "permutation_importance": _importance,
     "native_importance": _native_importance,
     "promotion_decision": _promotion,

@@ -211,6 +211,7 @@ RIDGE_LEVELS = {
     "is_us_holiday": ["0", "1"],
 }
 RIDGE_NUMBERS = [c for c in CALENDAR if c not in RIDGE_LEVELS] + ["days_to_nearest_us_holiday", *DERIVED]
+RIDGE_SLOTS = [f"{c}_{v}" for c, values in RIDGE_LEVELS.items() for v in values] + RIDGE_NUMBERS
 RIDGE_WIDTH = 1 + sum(map(len, RIDGE_LEVELS.values())) + len(RIDGE_NUMBERS)
 _COMPLETE = " AND ".join(f"{c} IS NOT NULL" for c in DERIVED)
 _INPUTS = ["1.0", *[f"({c} = '{v}')::DOUBLE" for c, values in RIDGE_LEVELS.items() for v in values]]
@@ -788,6 +789,9 @@ ORACLE: dict[str, str] = {
     "ridge_predictions": "WITH RECURSIVE" + with_(RIDGE, f"""
 SELECT {d("date", "date")}, store, item, sales, {r(" + ".join(f"x{i} * w[{i + 1}]" for i in _PLACES), "prediction", 4)}
 FROM design, weights WHERE date >= (SELECT max(date) - 89 FROM complete)""").removeprefix("WITH"),
+    "native_importance": "WITH RECURSIVE" + with_(RIDGE, f"""
+SELECT feature, {r("abs(w)", "importance")}, row_number() OVER (ORDER BY round(abs(w), 6) DESC, feature) AS rank FROM (
+  SELECT unnest([{", ".join(f"'{s}'" for s in RIDGE_SLOTS)}]) AS feature, unnest(w[2:]) AS w FROM weights)""").removeprefix("WITH"),
     "ridge_optimality": with_(RIDGE_ROWS, """
 SELECT '(intercept)' AS feature, CAST(NULL AS VARCHAR) AS level, 0.0::DOUBLE AS gap UNION ALL
 """ + " UNION ALL ".join(

@@ -236,6 +236,14 @@ def test_search_is_seeded():
     assert all(0.01 <= p.learning_rate <= 0.2 and 3 <= p.max_depth <= 9 for p in models.search_space(50))
 
 
+def test_search_tries_all_and_ranks_them(parts):
+    train, validation, _ = parts
+    trials = [models.BoostingConfig(n_estimators=n, max_depth=2, learning_rate=0.3) for n in (1, 8, 3)]
+    found = models.param_search(train, validation, trials).collect()
+    assert sorted(r.trial for r in found) == [1, 2, 3] and [r.rmse for r in found] == sorted(r.rmse for r in found)
+    assert found[0].n_estimators > 1
+
+
 def _dataset(spark, mark):
     return spark.createDataFrame(
         [(mark, 10, None, None)], "dataset_hash string, dataset_rows long, dataset_start date, dataset_end date"
