@@ -39,12 +39,16 @@ COMMON = 100_000
 SMALL_LIST = 24
 BLOCK = 256
 SALTED = 50_000
+#: Partners in its own block that a text is tried with before all blocks are.
+SOME = 4
+#: Texts whose postings are made at once.
+AT_ONCE = 1024
 #: Partners in a block up to which each is tried by itself.
 FEW = 8
 #: Bytes of a shingle's hash where full sets are compared, and texts that are compared with one in a task.
 SHINGLE_BYTES = 5
 LEAVES = 1000
-#: Bits of the filter for the texts whose full sets are wanted: at least 16 for each, up to this many (16 MB).
+#: Bits of the filter for the ids whose full sets are wanted: at least 16 for each, up to this many (16 MB).
 FILTER_BITS = 1 << 27
 
 _SEEDS = np.random.default_rng(80).integers(0, 1 << 63, (2, COORDINATES), np.uint64) * np.uint64(2) + np.uint64(1)
@@ -105,7 +109,7 @@ def _postings(common: np.ndarray, shares: np.ndarray, total: int):
     by_key, place = np.sort(common), np.argsort(common, kind="stable")
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, AT_ONCE) for b in batches for at in range(0, len(b), AT_ONCE)):
             node = batch.column(0).to_numpy(zero_copy_only=False)
             n = batch.column(1).to_numpy(zero_copy_only=False)
             keys = _pair_keys(_matrix(batch.column(2)))
@@ -235,16 +239,20 @@ def _compared(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
-def _agreeing(rows: list[tuple]) -> pa.RecordBatch:
+def _agreeing(rows: list[tuple], some: bool = False) -> pa.RecordBatch:
     """Of one pair of blocks, (key, i, j, side, node, component, signature) rows: pairs (a, b) of different components that
-    agree in enough coordinates. A text with more than `FEW` such partners is named with the blocks instead."""
+    agree in enough coordinates. A text with more than `FEW` such partners is named with the blocks instead; with `some`,
+    it is paired with those that it agrees with most."""
     node, comp, side = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 3))
     signatures = np.frombuffer(b"".join(r[6] for r in rows), np.uint32).reshape(-1, COORDINATES)
     theirs, found = np.flatnonzero(side == 1), []
     for x in np.flatnonzero(side == 0):
-        near = theirs[(signatures[theirs] == signatures[x]).sum(axis=1) >= MATCHES]
-        near = near[comp[near] != comp[x]]
-        if len(near) > FEW:
+        matches = (signatures[theirs] == signatures[x]).sum(axis=1)
+        on = (matches >= MATCHES) & (comp[theirs] != comp[x])
+        near, matches = theirs[on], matches[on]
+        if some and len(near) > SOME:
+            near = near[np.argsort(-matches, kind="stable")[:SOME]]
+        if not some and len(near) > FEW:
             found.append((*rows[0][:3], node[x], None))
         else:
             found.extend((None, None, None, node[x], node[y]) for y in near)
@@ -270,13 +278,13 @@ def _by_blocks(compared):
     return run
 
 
-def _wanted_filter(wanted: DataFrame) -> np.ndarray:
-    """Bits that are set at the places of all wanted nodes; of bounded size, so it may let others through."""
-    bits, count = 1 << 16, wanted.count()
+def _id_filter(ids: DataFrame) -> np.ndarray:
+    """Bits that are set at the places of all ids (a column of longs); of bounded size, so it may let others through."""
+    bits, count = 1 << 16, ids.count()
     while bits < min(FILTER_BITS, 16 * count):
         bits *= 2
-    place = F.col("node").bitwiseAND(F.lit(bits - 1))
-    words = wanted.select(F.shiftright(place, 15).alias("w"), place.bitwiseAND(F.lit(32767)).alias("b"))
+    place = F.col(ids.columns[0]).bitwiseAND(F.lit(bits - 1))
+    words = ids.select(F.shiftright(place, 15).alias("w"), place.bitwiseAND(F.lit(32767)).alias("b"))
     out = np.zeros((bits >> 15, 4096), np.uint8)
     for r in words.groupBy("w").agg(F.bitmap_construct_agg("b").alias("held")).collect():
         out[r.w] = np.frombuffer(r.held, np.uint8)
@@ -297,24 +305,29 @@ def _rows(texts: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(sign, "doc_id long, node long, n int, sig binary")
 
 
-def _full_sets(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """(node, s) of the nodes in `wanted`, from another reading of the texts that sends on hardly any other."""
-    held = _wanted_filter(wanted)
+def _full_sets(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
+    """(node, s) of the nodes in `wanted` and a few others, from another reading of the texts that passes over most: a
+    node's set is made from the text with its smallest id, or from any where it has no id."""
+    ids = wanted.join(nodes.select("node", "least"), "node").select("least")
+    held = _id_filter(ids.filter("least IS NOT NULL"))
 
     def shingle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _small(batches):
-            of, hashes = shingle_sets(batch.column(1), width)
-            node = set_keys(of, hashes, len(batch))
-            place = (node & (8 * len(held) - 1)).astype(np.int64)
-            on = np.flatnonzero(held[place >> 3] >> (place & 7).astype(np.uint8) & 1)
-            on = on[np.unique(node[on], return_index=True)[1]]
-            sets = _packed(of, hashes, len(batch)).take(pa.array(on))
-            yield pa.RecordBatch.from_arrays([pa.array(node[on]), sets], ["node", "s"])
+        for whole in batches:
+            ids = whole.column(0)
+            place = ids.fill_null(0).to_numpy(zero_copy_only=False) & (8 * len(held) - 1)
+            on = (held[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool)
+            on |= ids.is_null().to_numpy(zero_copy_only=False)
+            for batch in _small([whole.filter(pa.array(on))]):
+                of, hashes = shingle_sets(batch.column(1), width)
+                node = set_keys(of, hashes, len(batch))
+                first = np.unique(node, return_index=True)[1]
+                sets = _packed(of, hashes, len(batch)).take(pa.array(first))
+                yield pa.RecordBatch.from_arrays([pa.array(node[first]), sets], ["node", "s"])
 
     return texts.mapInArrow(shingle, "node long, s binary").dropDuplicates(["node"])
 
 
-def _confirmed(texts: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
+def _confirmed(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     """Those of the pairs (hub, leaf) whose full sets are similar, as (a, b).
 
     Each leaf's set is sent to its hub, where only the hub's own is held; a hub of very many leaves is there several times.
@@ -324,7 +337,7 @@ def _confirmed(texts: DataFrame, pairs: DataFrame, width: int) -> DataFrame:
     leaves = sized.select(F.col("leaf").alias("node"), "hub", F.pmod(F.xxhash64("leaf"), "parts").cast("int").alias("part"), F.lit(True).alias("leaf"))
     hubs = parts.select(F.col("hub").alias("node"), "hub", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(False).alias("leaf"))
     roles = materialize(leaves.unionByName(hubs))
-    sets = _full_sets(texts, roles.select("node").distinct(), width)
+    sets = _full_sets(texts, nodes, roles.select("node").distinct(), width)
     sent = sets.join(roles, "node").select("hub", "part", "leaf", "node", "s").repartition("hub", "part")
     return materialize(sent.sortWithinPartitions("hub", "part", "leaf").mapInArrow(_confirm, "a long, b long"))
 
@@ -338,31 +351,40 @@ def _long_list_pairs(met: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _blocks_left(met: DataFrame, linked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, i, j, side, node, comp) of the blocks of long lists that have to be compared, and nothing to compare if empty.
-
-    In each list, the members outside its largest component are dealt into blocks anew, and each of these is compared
-    with the blocks of all members of the same size class and its neighbours.
-    """
+def _members(met: DataFrame, linked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(key, cls, j, node, comp) of the members of long lists, j their block, and those outside their list's largest component."""
     members = met.filter("key IS NOT NULL").select("key", "salt", "cls", "block", F.col("b").alias("node"))
-    members = members.join(linked, "node", "left")
-    members = materialize(members.withColumn("comp", F.coalesce("root", F.xxhash64("node"))).drop("root"))
+    members = members.join(linked, "node", "left").withColumn("comp", F.coalesce("root", F.xxhash64("node")))
+    members = materialize(members.select("key", "cls", F.concat_ws(":", "cls", "salt", "block").alias("j"), "node", "comp"))
     counts = members.groupBy("key", "comp").agg(F.count("*").alias("n"))
     main = counts.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"))
-    apart = members.join(main, "key").filter(F.col("comp") != F.col("main"))
+    apart = members.join(main, "key").filter(F.col("comp") != F.col("main")).drop("main")
+    return members, materialize(apart)
+
+
+def _in_own_blocks(members: DataFrame, apart: DataFrame) -> DataFrame:
+    """(key, i, j, side, node, comp): the members apart, each with all members of its own block."""
+    blocks = apart.select("key", "j").distinct()
+    sides = [
+        apart.select("key", F.col("j").alias("i"), "j", F.lit(0).alias("side"), "node", "comp"),
+        members.join(blocks, ["key", "j"], "left_semi").select("key", F.col("j").alias("i"), "j", F.lit(1).alias("side"), "node", "comp"),
+    ]
+    return sides[0].unionByName(sides[1])
+
+
+def _in_all_blocks(members: DataFrame, apart: DataFrame) -> DataFrame:
+    """(key, i, j, side, node, comp): the members apart, dealt into blocks anew, with the blocks of all members of the same
+    size class and its neighbours."""
     place = F.row_number().over(Window.partitionBy("key", "cls").orderBy("node")) - 1
-    apart = apart.select("key", F.concat_ws(":", "cls", F.floor(place / BLOCK)).alias("i"), "cls", "node", "comp")
-    apart = materialize(apart)
-    own = F.concat_ws(":", "cls", "salt", "block").alias("j")
-    whole = members.select("key", "cls", own, "node", "comp")
+    apart = materialize(apart.select("key", F.concat_ws(":", "cls", F.floor(place / BLOCK)).alias("i"), "cls", "node", "comp"))
     near = F.explode(F.array(F.col("cls") - 1, F.col("cls"), F.col("cls") + 1)).alias("cls")
     left = apart.select("key", "i", "cls").distinct().select("key", "i", near)
-    asked = materialize(left.join(whole.select("key", "cls", "j").distinct(), ["key", "cls"]).select("key", "i", "j"))
+    asked = materialize(left.join(members.select("key", "cls", "j").distinct(), ["key", "cls"]).select("key", "i", "j"))
     sides = [
         asked.join(apart, ["key", "i"]).select("key", "i", "j", F.lit(0).alias("side"), "node", "comp"),
-        asked.join(whole, ["key", "j"]).select("key", "i", "j", F.lit(1).alias("side"), "node", "comp"),
+        asked.join(members, ["key", "j"]).select("key", "i", "j", F.lit(1).alias("side"), "node", "comp"),
     ]
-    return asked, sides[0].unionByName(sides[1])
+    return sides[0].unionByName(sides[1])
 
 
 def _linked(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
@@ -386,7 +408,7 @@ def _linked(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     # Each text with the one that it agrees with most; then what this leaves in different components.
     both = pairs.select("matches", F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p"))
     best = both.groupBy(F.col("p.a").alias("leaf")).agg(F.max_by("p.b", F.struct("matches", F.col("p.b"))).alias("hub"))
-    found = _confirmed(texts, best.select("hub", "leaf"), width)
+    found = _confirmed(texts, nodes, best.select("hub", "leaf"), width)
     linked = materialize(components(found))
     named = linked.select("node", "root")
     of = lambda end: named.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
@@ -394,26 +416,35 @@ def _linked(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     tried = best.select(F.least("hub", "leaf").alias("a"), F.greatest("hub", "leaf").alias("b")).distinct()
     apart = materialize(apart.join(tried, ["a", "b"], "left_anti").select(F.col("a").alias("hub"), F.col("b").alias("leaf")))
     if not apart.isEmpty():
-        found = found.unionByName(_confirmed(texts, apart, width))
+        found = found.unionByName(_confirmed(texts, nodes, apart, width))
         linked = materialize(components(found))
 
     return _with_long_lists(texts, nodes, met, pairs, found, linked, width)
 
 
 def _with_long_lists(texts, nodes, met, pairs, found, linked, width: int) -> DataFrame:
-    """`linked` with what the members of long lists have in common besides the pairs tried before."""
-    asked, rows = _blocks_left(met, linked)
-    if asked.isEmpty():
-        return linked
+    """`linked` with what the members of long lists have in common besides the pairs tried before.
+
+    Members outside the largest component of their list are tried with a few texts of their own block first, which joins
+    nearly all of a group of near copies; then what is still apart is tried with all blocks.
+    """
     order = ["key", "i", "j"]
-    signed = rows.join(nodes.select("node", "sig"), "node").select(*order, "side", "node", "comp", "sig").repartition(*order)
     shape = "key long, i string, j string, a long, b long"
-    close = materialize(signed.sortWithinPartitions(*order).mapInArrow(_by_blocks(_agreeing), shape))
-    new = close.filter("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    new = materialize(new.join(pairs, ["a", "b"], "left_anti").select(F.col("a").alias("hub"), F.col("b").alias("leaf")))
-    if not new.isEmpty():
-        found = found.unionByName(_confirmed(texts, new, width))
-        linked = materialize(components(found))
+    tried = pairs.select("a", "b")
+    for some in (True, False):
+        members, apart = _members(met, linked)
+        if apart.isEmpty():
+            return linked
+        rows = (_in_own_blocks if some else _in_all_blocks)(members, apart)
+        signed = rows.join(nodes.select("node", "sig"), "node").select(*order, "side", "node", "comp", "sig").repartition(*order)
+        agreeing = _by_blocks(lambda group, some=some: _agreeing(group, some))
+        close = materialize(signed.sortWithinPartitions(*order).mapInArrow(agreeing, shape))
+        new = close.filter("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        new = materialize(new.join(tried, ["a", "b"], "left_anti"))
+        if not new.isEmpty():
+            found = found.unionByName(_confirmed(texts, nodes, new.select(F.col("a").alias("hub"), F.col("b").alias("leaf")), width))
+            linked = materialize(components(found))
+            tried = tried.unionByName(new)
     dense = close.filter("key IS NOT NULL").select(*order).distinct()
     if dense.isEmpty():
         return linked
@@ -421,7 +452,7 @@ def _with_long_lists(texts, nodes, met, pairs, found, linked, width: int) -> Dat
     rows = rows.drop("comp").join(dense, order, "left_semi").join(linked, "node", "left")
     rows = materialize(rows.withColumn("comp", F.coalesce("root", F.xxhash64("node"))).drop("root"))
     wanted = rows.select("node").distinct()
-    sets = _full_sets(texts, wanted, width).join(wanted, "node", "left_semi")
+    sets = _full_sets(texts, nodes, wanted, width).join(wanted, "node", "left_semi")
     full = rows.join(sets, "node").join(nodes.select("node", "sig"), "node")
     full = full.select(*order, "side", "node", "comp", "sig", "s").repartition(*order).sortWithinPartitions(*order)
     more = materialize(full.mapInArrow(_by_blocks(_compared), "a long, b long"))

@@ -228,6 +228,30 @@ SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT
 FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN best ON o.conv_id IS NOT DISTINCT FROM best.conv_id
 """
 
+OP13 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS t FROM documents
+),
+shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(t) >= 2 THEN list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1])
+                                      ELSE t END) AS g FROM w
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL
+),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)
+),
+reached AS (
+  SELECT doc_id, doc_id AS r FROM w
+  UNION SELECT b, r FROM reached JOIN links ON a = reached.doc_id
+)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT doc_id, min(r) AS component_id FROM reached GROUP BY doc_id) LEFT JOIN sizes USING (doc_id)
+"""
+
 LLM_ORACLE = {
     "op2_decontaminate": OP2,
     "op3_archives": OP3,
@@ -235,4 +259,5 @@ LLM_ORACLE = {
     "op8_substrings": OP8,
     "op11_prefix_trie": OP11,
     "op12_repair": OP12,
+    "op13_minhash": OP13,
 }

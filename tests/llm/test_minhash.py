@@ -42,6 +42,7 @@ def dense_family(least=9, most=17, count=150):
 )
 def test_a_dense_family_equals_all_pairs_compared(spark, monkeypatch, small, block, salted, few):
     monkeypatch.setattr(minhash, "FEW", few)
+    monkeypatch.setattr(minhash, "SOME", 1)
     monkeypatch.setattr(minhash, "SMALL_LIST", small)
     monkeypatch.setattr(minhash, "BLOCK", block)
     monkeypatch.setattr(minhash, "SALTED", salted)
