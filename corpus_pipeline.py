@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, langid, linededup, minhash, mixing, simhash
+from shelfcast.llm import decontaminate, langid, linededup, mixing, simhash
 from shelfcast.llm.rows import table
 from shelfcast.session import materialize
 
@@ -31,10 +31,11 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def remove_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less the lines that many sources share; their number of characters follows the text.
 
-    Texts that are mostly alike count for one source together, so that a page that was copied to many sources, with or
-    without changes, keeps its own lines.
+    Texts that fingerprints link count for one source together, so that a page that was copied to many sources, as it
+    is or with small changes, keeps its own lines.
     """
-    alike = minhash.near_duplicates(docs).select("doc_id", F.col("component_id").alias("family"))
+    alike = simhash.near_duplicates(docs, width=SHINGLE, bits=BITS)
+    alike = alike.select("doc_id", F.col("component_id").alias("family"))
     cut = linededup.remove_spread_lines(docs, families=alike)
     new = {"text": F.col("kept"), "n_chars": F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("r.n_chars"))}
     return cut.select(*[
