@@ -39,7 +39,7 @@ def test_stages_equal_plain_python(spark, sf_dir):
             assert plain(after) == plain(r for r in before if any(c.isalpha() for c in r[1] or ""))
         if name == "line_spread":
             rows = [(i, t, lang, s) for i, t, lang, s, _ in before]
-            family = [c for _, _, c, _ in plain_python.similar_groups(rows, 2, 0.8)]
+            family = [c for _, _, c in plain_python.near_duplicates(rows)]
             cut = {i: new for i, new, _, _ in _cut(rows, 8, family)}
             assert plain(after) == plain((i, cut[i], lang, s, len(cut[i]) if cut[i] != t else n) for i, t, lang, s, n in before)
         if name == "near_duplicates":
