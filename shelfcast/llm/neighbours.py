@@ -168,7 +168,7 @@ def _measured_share(distinct: DataFrame, queries: DataFrame, forests: dict[int,
                     scores, rows = np.r_[best[n][0], scores[top]], np.r_[best[n][1], points[top]]
                     top = np.argsort(-scores, kind="stable")[: k + 1]
                     best[n] = scores[top], rows[top]
-        for n, (scores, rows) in best.items():
+        for n, (scores, rows) in ((n, found) for n, found in best.items() if len(found[0])):
             yield pd.DataFrame({"asked": n, "score": scores, "v": list(rows)})
 
     if not asked:
@@ -196,9 +196,10 @@ def nearest(
     Trees are grown on a bounded sample and shared with all tasks; every vector is put into one leaf of each tree, with
     one more component that makes all of them equally long, so that near in angle means large in product. A query
     searches the leaves of a queue over all trees until they hold `share` of the rows of all trees, and is scored
-    exactly against them; with a share of 1 every vector is compared. By default the share is measured: some queries
-    are first compared with all rows, and the least share that finds `FOUND` of their neighbours is taken. Rows with
-    the same vector are one query, and the queries of a leaf are dealt over several tasks.
+    exactly against them, the first leaves first, so that later ones return only rows that can still be among the
+    best; with a share of 1 every vector is compared. By default the share is measured: some queries are first
+    compared with all rows, and the least share that finds `FOUND` of their neighbours is taken. Rows with the same
+    vector are one query, and the queries of a leaf are dealt over several tasks.
 
     Leaves are medians of the sample and so stay about equal; copies of a vector, which no tree can part, are one row
     with its `k + 1` smallest ids. Vectors of different lengths have no product: each length has its own forest
@@ -243,8 +244,9 @@ def nearest(
                 found = [search_forest(forests[len(v)].trees, np.r_[np.array(v), 0.0], share) for v in part["v"]]
                 rows = part.loc[part.index.repeat([len(f) for f in found])]
                 places = np.array([p for f in found for p in f])
-                rows = rows.assign(length=rows["v"].map(len), tree=places[:, 0], leaf=places[:, 1])
-                yield rows[[*LEAF, "query_id", "v"]]
+                first = [n < len(forests[len(v)].trees) for v, f in zip(part["v"], found) for n in range(len(f))]
+                rows = rows.assign(length=rows["v"].map(len), tree=places[:, 0], leaf=places[:, 1], first=first)
+                yield rows[[*LEAF, "first", "query_id", "v"]]
 
     def score(_, asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         out = {"query_id": [], "vec_ids": [], "scores": []}
@@ -258,36 +260,50 @@ def nearest(
                 # Sums in another order may differ in their last digits: whatever could be among the k + 1 best is
                 # scored exactly, all rows that tie with the last of them included.
                 least = np.partition(near, cut, axis=1)[:, cut]
-                for query, v, row, low in zip(part["query_id"], part["v"], near, least):
+                for query, v, bound, row, low in zip(part["query_id"], part["v"], part["bound"], near, least):
                     rounding = 4 * len(v) * np.finfo(float).eps * longest * np.sqrt((v * v).sum())
-                    picked = np.flatnonzero(row >= low - rounding)
+                    picked = np.flatnonzero(row >= max(low, bound) - rounding)
                     exact = (points[picked] * v).sum(axis=1)
-                    pairs = ((-s, i) for s, p in zip(exact.tolist(), picked) for i in ids[p])
+                    pairs = ((-s, i) for s, p in zip(exact.tolist(), picked) if s >= bound for i in ids[p])
                     pairs = nsmallest(k + 1, pairs)
+                    if not pairs:
+                        continue
                     out["query_id"].append(query)
                     out["vec_ids"].append([i for _, i in pairs])
                     out["scores"].append([-s for s, _ in pairs])
-        return pd.DataFrame(out)
+        return pd.DataFrame(out, dtype=object)  # lists, also where there is none
 
     leaf = "length int, tree int, leaf long"
-    placed = distinct.mapInPandas(place, f"{leaf}, v array<double>, ids array<long>")
-    asked = materialize(queries.mapInPandas(ask, f"{leaf}, query_id long, v array<double>"))
-    # A leaf that many queries ask is held once for every so many of them; one that none asks is not held at all.
-    deals = asked.groupBy(*LEAF).agg(F.ceil(F.count("*") / ASKED_TOGETHER).cast("int").alias("deals"))
-    asked = asked.join(deals, LEAF).withColumn("deal", F.pmod(F.xxhash64("query_id"), F.col("deals")).cast("int"))
-    placed = placed.join(deals, LEAF).withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
-    together = [*LEAF, "deal"]
-    asked = asked.select(*together, "query_id", "v")
-    placed = placed.select(*together, "v", "ids")
-    scored = asked.groupBy(*together).cogroup(placed.groupBy(*together)).applyInPandas(
-        score, "query_id long, vec_ids array<long>, scores array<double>"
-    )
-    pairs = scored.select("query_id", F.explode(F.arrays_zip("vec_ids", "scores")).alias("p")).select(
-        "query_id", F.col("p.vec_ids").alias("vec_id"), F.col("p.scores").alias("score")
-    )
+    visits = materialize(queries.mapInPandas(ask, f"{leaf}, first boolean, query_id long, v array<double>"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    found = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    best = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k + 1).drop("rank")
+
+    def visited(asked: DataFrame) -> DataFrame:
+        """(query_id, vec_id, score) of the `k + 1` best rows of each leaf that score `bound` or more."""
+        placed = distinct.mapInPandas(place, f"{leaf}, v array<double>, ids array<long>")
+        # A leaf that many queries ask is held once for every so many of them; one that none asks is not held at all.
+        deals = asked.groupBy(*LEAF).agg(F.ceil(F.count("*") / ASKED_TOGETHER).cast("int").alias("deals"))
+        asked = asked.join(deals, LEAF).withColumn("deal", F.pmod(F.xxhash64("query_id"), F.col("deals")).cast("int"))
+        placed = placed.join(deals, LEAF).withColumn("deal", F.explode(F.sequence(F.lit(0), F.col("deals") - 1)))
+        together = [*LEAF, "deal"]
+        asked = asked.select(*together, "query_id", "v", "bound")
+        placed = placed.select(*together, "v", "ids")
+        scored = asked.groupBy(*together).cogroup(placed.groupBy(*together)).applyInPandas(
+            score, "query_id long, vec_ids array<long>, scores array<double>"
+        )
+        return scored.select("query_id", F.explode(F.arrays_zip("vec_ids", "scores")).alias("p")).select(
+            "query_id", F.col("p.vec_ids").alias("vec_id"), F.col("p.scores").alias("score")
+        )
+
+    def leading(pairs: DataFrame) -> DataFrame:
+        found = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k + 1).drop("rank")
+
+    # As many leaves as there are trees first; rows of the others count only if they reach the last of the best so far.
+    unbounded = F.lit(float("-inf"))
+    first = materialize(leading(visited(visits.filter("first").withColumn("bound", unbounded))))
+    bounds = first.groupBy("query_id").agg(F.when(F.count("*") == k + 1, F.min("score")).alias("bound"))
+    later = visits.filter("NOT first").join(bounds, "query_id", "left")
+    best = leading(first.unionByName(visited(later.withColumn("bound", F.coalesce("bound", unbounded)))))
     # Every row that asked gets its vector's answer, less itself.
     named = asking.join(queries, "v").select("query_id", "asked_id")
     each = named.join(best, "query_id").filter(F.col("vec_id") != F.col("asked_id"))
