@@ -9,12 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontaminate, langid, linededup, mixing, simhash
+from shelfcast.llm import decontaminate, families, langid, linededup, mixing, simhash
 from shelfcast.llm.rows import table
 from shelfcast.session import materialize
 
 #: Words of a shingle, and bits in which the fingerprints of near-duplicates differ at most.
-SHINGLE, BITS = 3, 3
+SHINGLE, BITS = families.SHINGLE, families.BITS
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +34,7 @@ def remove_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Texts that fingerprints link count for one source together, so that a page that was copied to many sources, as it
     is or with small changes, keeps its own lines.
     """
-    alike = simhash.near_duplicates(docs, width=SHINGLE, bits=BITS)
-    alike = alike.select("doc_id", F.col("component_id").alias("family"))
+    alike = families.near_duplicates(docs)
     cut = linededup.remove_spread_lines(docs, families=alike)
     new = {"text": F.col("kept"), "n_chars": F.when(F.col("n_removed") > 0, F.length("kept")).otherwise(F.col("r.n_chars"))}
     return cut.select(*[

@@ -8,7 +8,7 @@ import pytest
 
 import corpus_pipeline
 from llm_helpers import awkward_rows, documents, near_duplicates, plain
-from shelfcast.llm import decontaminate, linededup
+from shelfcast.llm import decontaminate, families, linededup
 
 
 def test_masks_find_every_tolerated_stretch():
@@ -166,3 +166,44 @@ def test_families_count_once_for_a_line(spark):
         for sites in (gone, gone + 1):
             found = linededup.remove_spread_lines(docs, sites=sites, families=table).collect()
             assert {r.n_removed for r in found} == {int(sites <= gone)}
+
+
+def test_families_equal_all_fingerprints_compared(spark):
+    rng = random.Random(3)
+    rows = awkward_rows() + [(200, " \x0b\x0cONE\r\ntwo\x85three\u00a0Ä  four ", None, None), (201, "Ab", None, None), (202, "a b\t", None, None)]
+    base = [f"w{rng.randrange(900)}" for _ in range(300)]
+    for k in range(60):
+        text = list(base)
+        for at in rng.sample(range(300), k % 4):
+            text[at] = f"n{k}"
+        rows.append((300 + k, " ".join(text), None, None))
+    found = families.near_duplicates(documents(spark, rows)).collect()
+    want = [(i, c) for i, _, c in near_duplicates(rows)]
+    assert plain(found) == plain(want)
+    assert len({c for i, c in want if (i or 0) >= 300}) < 60
+    assert families.near_duplicates(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("bucket, free", [(64, 10), (2, 10), (2, 40)])
+def test_family_links_are_all_pairs_within_the_distance(spark, monkeypatch, bucket, free):
+    monkeypatch.setattr(families, "BUCKET", bucket)
+    monkeypatch.setattr(families, "FREE", free)
+    rng = random.Random(bucket)
+    prints = {rng.getrandbits(64) for _ in range(30)} | {0, (1 << 64) - 1, 1 << 63}
+    for base in list(prints)[:8]:
+        for _ in range(40):
+            prints.add(base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 5))))
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    found = families.links(spark.createDataFrame([(s,) for s in signed], "fp long")).distinct().collect()
+    near = {(a, b) for a, b in itertools.combinations(sorted(signed), 2) if ((a ^ b) % (1 << 64)).bit_count() <= 3}
+    assert {tuple(r) for r in found} == near
+
+
+def test_pipeline_finds_boilerplate_without_python_in_tasks(spark, monkeypatch):
+    def refused(*args, **kwargs):
+        raise AssertionError("DataFrame functions only")
+
+    rows = [(k, "a line of all\n" + " ".join(f"own{k}{j}" for j in range(16)), "en", f"s{k}") for k in range(12)]
+    for name in ("mapInArrow", "mapInPandas"):
+        monkeypatch.setattr(type(spark.range(1)), name, refused)
+    assert {r.text.split(" ")[0] for r in _stage(spark, rows)[1].collect()} == {f"own{k}0" for k in range(12)}
