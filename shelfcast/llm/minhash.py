@@ -39,8 +39,10 @@ COMMON = 100_000
 SMALL_LIST = 24
 BLOCK = 256
 SALTED = 50_000
-#: Partners in its own block that a text is tried with before all blocks are.
+#: Partners in its own block that a text is tried with before all blocks are, and lists, the shortest that it is in, in
+#: which it is.
 SOME = 4
+LISTS = 4
 #: Texts whose postings are made at once.
 AT_ONCE = 1024
 #: Partners in a block up to which each is tried by itself.
@@ -240,15 +242,20 @@ def _compared(rows: list[tuple]) -> pa.RecordBatch:
 
 
 def _agreeing(rows: list[tuple], some: bool = False) -> pa.RecordBatch:
-    """Of one pair of blocks, (key, i, j, side, node, component, signature) rows: pairs (a, b) of different components that
-    agree in enough coordinates. A text with more than `FEW` such partners is named with the blocks instead; with `some`,
-    it is paired with those that it agrees with most."""
+    """Of one pair of blocks, (key, i, j, side, node, component, signature, long) rows: pairs (a, b) of different components
+    that agree in enough coordinates, each from the first of the long lists that have both. A text with more than `FEW` such
+    partners is named with the blocks instead; with `some`, it is paired with those that it agrees with most, from any list."""
     node, comp, side = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 3))
     signatures = np.frombuffer(b"".join(r[6] for r in rows), np.uint32).reshape(-1, COORDINATES)
+    long = np.unpackbits(np.frombuffer(b"".join(r[7] for r in rows), np.uint8).reshape(len(rows), -1), axis=1).astype(bool)
+    here = np.argmax(_pair_keys(signatures[:1]).view(np.int64)[0] == rows[0][0])
     theirs, found = np.flatnonzero(side == 1), []
     for x in np.flatnonzero(side == 0):
-        matches = (signatures[theirs] == signatures[x]).sum(axis=1)
+        equal = signatures[theirs] == signatures[x]
+        matches = equal.sum(axis=1)
         on = (matches >= MATCHES) & (comp[theirs] != comp[x])
+        if not some:
+            on &= (equal & long[theirs] & long[x]).argmax(axis=1) == here
         near, matches = theirs[on], matches[on]
         if some and len(near) > SOME:
             near = near[np.argsort(-matches, kind="stable")[:SOME]]
@@ -362,8 +369,26 @@ def _members(met: DataFrame, linked: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, materialize(apart)
 
 
+def _with_lists(nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """(node, sig, long) of the members of long lists; a bit of `long` for each coordinate whose list is one of them."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, lists = _pair_keys(_matrix(batch.column(1))).view(np.int64), batch.column(2)
+            bits = [np.packbits(np.isin(k, held)).tobytes() for k, held in zip(keys, lists.to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(bits, pa.binary())], ["node", "sig", "long"])
+
+    lists = members.groupBy("node").agg(F.collect_set("key").alias("lists"))
+    held = nodes.select("node", "sig").join(lists, "node").select("node", "sig", "lists")
+    return materialize(held.mapInArrow(mark, "node long, sig binary, long binary"))
+
+
 def _in_own_blocks(members: DataFrame, apart: DataFrame) -> DataFrame:
-    """(key, i, j, side, node, comp): the members apart, each with all members of its own block."""
+    """(key, i, j, side, node, comp): the members apart, each with all members of its own block in its shortest lists."""
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("size", "key"))
+    apart = apart.join(sizes, "key").withColumn("place", place).filter(F.col("place") <= LISTS)
+    apart = materialize(apart.select("key", "j", "node", "comp"))
     blocks = apart.select("key", "j").distinct()
     sides = [
         apart.select("key", F.col("j").alias("i"), "j", F.lit(0).alias("side"), "node", "comp"),
@@ -430,13 +455,14 @@ def _with_long_lists(texts, nodes, met, pairs, found, linked, width: int) -> Dat
     """
     order = ["key", "i", "j"]
     shape = "key long, i string, j string, a long, b long"
-    tried = pairs.select("a", "b")
+    tried, marked = pairs.select("a", "b"), None
     for some in (True, False):
         members, apart = _members(met, linked)
         if apart.isEmpty():
             return linked
         rows = (_in_own_blocks if some else _in_all_blocks)(members, apart)
-        signed = rows.join(nodes.select("node", "sig"), "node").select(*order, "side", "node", "comp", "sig").repartition(*order)
+        marked = marked or _with_lists(nodes, members)
+        signed = rows.join(marked, "node").select(*order, "side", "node", "comp", "sig", "long").repartition(*order)
         agreeing = _by_blocks(lambda group, some=some: _agreeing(group, some))
         close = materialize(signed.sortWithinPartitions(*order).mapInArrow(agreeing, shape))
         new = close.filter("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -118,3 +118,14 @@ def test_signatures_agree_about_as_often_as_sets_do():
         signatures = minhash._signatures(*shingle_sets(texts, 2), 2)
         shares.append((signatures[0] == signatures[1]).mean())
     assert abs(np.mean(shares) - 0.805) < 0.03 and min(shares) * minhash.COORDINATES > minhash.MATCHES
+
+
+def test_a_pair_comes_from_one_of_its_long_lists():
+    sig = np.arange(minhash.COORDINATES, dtype=np.uint32)
+    keys = minhash._pair_keys(sig[None]).view(np.int64)[0]
+    long = np.packbits(np.isin(np.arange(minhash.COORDINATES), [3, 9])).tobytes()
+    found = [
+        minhash._agreeing([(int(keys[c]), "0", "0", side, 1 + side, 1 + side, sig.tobytes(), long) for side in (0, 1)])
+        for c in (3, 9)
+    ]
+    assert [f.num_rows for f in found] == [1, 0] and found[0].column(3).to_pylist() == [1]
