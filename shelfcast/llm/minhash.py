@@ -4,7 +4,9 @@ A text's signature has the smallest hash of its shingles under each of many hash
 coordinates. Texts are posted under their coordinate-value pairs, rare pairs first. Two texts that agree in `MATCHES`
 coordinates meet `HITS` times among the first pairs of both in that one order, so the longest posting lists are never
 merged: the coordinates they stand for are counted only for pairs that met. Pairs with enough matches are confirmed on
-the full sets. In long lists each member is tried with one of them first, and what that leaves apart is tried in blocks.
+the full sets. In long lists each member is tried with one of them first. A pair that has met too seldom in short lists
+needs the long lists for the rest of its meetings: texts in too few long lists leave here, the others are tried in blocks
+of texts, each pair of blocks once and not once for each list.
 """
 
 from __future__ import annotations
@@ -241,20 +243,22 @@ def _compared(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
 
-def _agreeing(rows: list[tuple], some: bool = False) -> pa.RecordBatch:
+def _agreeing(rows: list[tuple], some: bool = False, once: bool = False) -> pa.RecordBatch:
     """Of one pair of blocks, (key, i, j, side, node, component, signature, long) rows: pairs (a, b) of different components
-    that agree in enough coordinates, each from the first of the long lists that have both. A text with more than `FEW` such
-    partners is named with the blocks instead; with `some`, it is paired with those that it agrees with most, from any list."""
+    that agree in enough coordinates, each from the first of the long lists that have both, or, where the blocks stand for
+    all lists, `once`. A text with more than `FEW` such partners is named with the blocks instead; with `some`, it is paired
+    with those that it agrees with most, from any list."""
     node, comp, side = (np.array([r[k] for r in rows], np.int64) for k in (4, 5, 3))
     signatures = np.frombuffer(b"".join(r[6] for r in rows), np.uint32).reshape(-1, COORDINATES)
-    long = np.unpackbits(np.frombuffer(b"".join(r[7] for r in rows), np.uint8).reshape(len(rows), -1), axis=1).astype(bool)
-    here = np.argmax(_pair_keys(signatures[:1]).view(np.int64)[0] == rows[0][0])
+    if not some and not once:
+        long = np.unpackbits(np.frombuffer(b"".join(r[7] for r in rows), np.uint8).reshape(len(rows), -1), axis=1).astype(bool)
+        here = np.argmax(_pair_keys(signatures[:1]).view(np.int64)[0] == rows[0][0])
     theirs, found = np.flatnonzero(side == 1), []
     for x in np.flatnonzero(side == 0):
         equal = signatures[theirs] == signatures[x]
         matches = equal.sum(axis=1)
         on = (matches >= MATCHES) & (comp[theirs] != comp[x])
-        if not some:
+        if not some and not once:
             on &= (equal & long[theirs] & long[x]).argmax(axis=1) == here
         near, matches = theirs[on], matches[on]
         if some and len(near) > SOME:
@@ -349,6 +353,17 @@ def _confirmed(texts: DataFrame, nodes: DataFrame, pairs: DataFrame, width: int)
     return materialize(sent.sortWithinPartitions("hub", "part", "leaf").mapInArrow(_confirm, "a long, b long"))
 
 
+def _short_list_pairs(met: DataFrame) -> DataFrame:
+    """Pairs (a, b) that meet `HITS` times in short lists, or less often where both are in enough long lists for the rest."""
+    hits = materialize(met.filter("key IS NULL").groupBy("a", "b").agg(F.count("*").alias("hits")))
+    often, seldom = hits.filter(F.col("hits") >= HITS), hits.filter(F.col("hits") < HITS)
+    lists = met.filter("key IS NOT NULL").groupBy(F.col("b").alias("node")).agg(F.count("*").alias("lists"))
+    for end in ("a", "b"):
+        enough = (F.col("node") == F.col(end)) & (F.col("lists") + F.col("hits") >= HITS)
+        seldom = seldom.join(lists, enough, "left_semi")
+    return often.select("a", "b").unionByName(seldom.select("a", "b"))
+
+
 def _long_list_pairs(met: DataFrame) -> DataFrame:
     """Pairs (a, b) of the members of long lists with the first of their size class, and of these firsts in a row."""
     long = met.filter("key IS NOT NULL")
@@ -359,9 +374,11 @@ def _long_list_pairs(met: DataFrame) -> DataFrame:
 
 
 def _members(met: DataFrame, linked: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(key, cls, j, node, comp) of the members of long lists, j their block, and those outside their list's largest component."""
+    """(key, cls, j, node, comp) of the texts in `HITS` long lists or more, j their block, and those outside their list's
+    largest component."""
     members = met.filter("key IS NOT NULL").select("key", "salt", "cls", "block", F.col("b").alias("node"))
-    members = members.join(linked, "node", "left").withColumn("comp", F.coalesce("root", F.xxhash64("node")))
+    often = members.groupBy("node").agg(F.count("*").alias("lists")).filter(F.col("lists") >= HITS)
+    members = members.join(often, "node", "left_semi").join(linked, "node", "left").withColumn("comp", F.coalesce("root", F.xxhash64("node")))
     members = materialize(members.select("key", "cls", F.concat_ws(":", "cls", "salt", "block").alias("j"), "node", "comp"))
     counts = members.groupBy("key", "comp").agg(F.count("*").alias("n"))
     main = counts.groupBy("key").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"))
@@ -369,20 +386,6 @@ def _members(met: DataFrame, linked: DataFrame) -> tuple[DataFrame, DataFrame]:
     return members, materialize(apart)
 
 
-def _with_lists(nodes: DataFrame, members: DataFrame) -> DataFrame:
-    """(node, sig, long) of the members of long lists; a bit of `long` for each coordinate whose list is one of them."""
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys, lists = _pair_keys(_matrix(batch.column(1))).view(np.int64), batch.column(2)
-            bits = [np.packbits(np.isin(k, held)).tobytes() for k, held in zip(keys, lists.to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(bits, pa.binary())], ["node", "sig", "long"])
-
-    lists = members.groupBy("node").agg(F.collect_set("key").alias("lists"))
-    held = nodes.select("node", "sig").join(lists, "node").select("node", "sig", "lists")
-    return materialize(held.mapInArrow(mark, "node long, sig binary, long binary"))
-
-
 def _in_own_blocks(members: DataFrame, apart: DataFrame) -> DataFrame:
     """(key, i, j, side, node, comp): the members apart, each with all members of its own block in its shortest lists."""
     sizes = members.groupBy("key").agg(F.count("*").alias("size"))
@@ -397,19 +400,39 @@ def _in_own_blocks(members: DataFrame, apart: DataFrame) -> DataFrame:
     return sides[0].unionByName(sides[1])
 
 
-def _in_all_blocks(members: DataFrame, apart: DataFrame) -> DataFrame:
-    """(key, i, j, side, node, comp): the members apart, dealt into blocks anew, with the blocks of all members of the same
-    size class and its neighbours."""
-    place = F.row_number().over(Window.partitionBy("key", "cls").orderBy("node")) - 1
-    apart = materialize(apart.select("key", F.concat_ws(":", "cls", F.floor(place / BLOCK)).alias("i"), "cls", "node", "comp"))
-    near = F.explode(F.array(F.col("cls") - 1, F.col("cls"), F.col("cls") + 1)).alias("cls")
-    left = apart.select("key", "i", "cls").distinct().select("key", "i", near)
-    asked = materialize(left.join(members.select("key", "cls", "j").distinct(), ["key", "cls"]).select("key", "i", "j"))
+def _in_all_blocks(members: DataFrame) -> DataFrame:
+    """(key, i, j, side, node, comp): the members in blocks that have `HITS` long lists in common.
+
+    A text is in one block: of the longest list that it is in, its size class, and the largest component there or the others.
+    Blocks meet once, however many lists they share, if their size classes are neighbours and not all of both is in
+    one component. The smaller one goes to the larger, with others that meet it, up to about `BLOCK` texts at once.
+    """
+    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
+    homes = members.join(sizes, "key").groupBy("node", "cls", "comp").agg(F.max_by("key", F.struct("size", "key")).alias("home"))
+    homes = materialize(homes)
+    counts = homes.groupBy("home", "comp").agg(F.count("*").alias("n"))
+    main = counts.groupBy("home").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"))
+    part = ["home", "cls", "others"]
+    place = F.row_number().over(Window.partitionBy(*part).orderBy("node")) - 1
+    dealt = homes.join(main, "home").withColumn("others", F.col("comp") != F.col("main"))
+    dealt = dealt.withColumn("block", F.xxhash64(*part, F.floor(place / BLOCK)))
+    dealt = materialize(dealt.select("block", "cls", "node", "comp"))
+    one = F.when(F.min("comp") == F.max("comp"), F.min("comp")).alias("one")
+    blocks = dealt.groupBy("block").agg(F.count("*").alias("size"), F.min("cls").alias("cls"), one)
+    lists = members.select("key", "node").join(dealt.select("node", "block"), "node").select("key", "block").distinct()
+    lists = materialize(lists.join(blocks, "block").select("key", F.struct("size", "block", "cls", "one").alias("x")))
+    both = lists.join(lists.withColumnRenamed("x", "y"), "key").filter("x.size < y.size OR x.size = y.size AND x.block <= y.block")
+    both = both.filter("abs(x.cls - y.cls) <= 1 AND NOT coalesce(x.one = y.one, false)")
+    asked = both.groupBy(F.col("x.block").alias("other"), F.col("y.block").alias("key")).agg(F.count("*").alias("lists"), F.first("x.size").alias("size"))
+    before = F.sum("size").over(Window.partitionBy("key").orderBy("other")) - F.col("size")
+    asked = asked.filter(F.col("lists") >= HITS).withColumn("i", F.floor(before / BLOCK).cast("string"))
+    asked = materialize(asked.select("key", "i", "other"))
     sides = [
-        asked.join(apart, ["key", "i"]).select("key", "i", "j", F.lit(0).alias("side"), "node", "comp"),
-        asked.join(members, ["key", "j"]).select("key", "i", "j", F.lit(1).alias("side"), "node", "comp"),
+        asked.join(dealt.withColumnRenamed("block", "other"), "other").withColumn("side", F.lit(0)),
+        asked.select("key", "i").distinct().join(dealt.withColumnRenamed("block", "key"), "key").withColumn("side", F.lit(1)),
     ]
-    return sides[0].unionByName(sides[1])
+    first, second = [side.select("key", "i", F.lit("").alias("j"), "side", "node", "comp") for side in sides]
+    return first.unionByName(second)
 
 
 def _linked(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
@@ -423,8 +446,7 @@ def _linked(texts: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     shape = ", ".join(f"{name} long" for name in _MET)
     met = materialize(dealt.mapInArrow(_meet, shape))
 
-    often = met.filter("key IS NULL").groupBy("a", "b").agg(F.count("*").alias("hits")).filter(F.col("hits") >= HITS)
-    pairs = often.select("a", "b").unionByName(_long_list_pairs(met)).distinct()
+    pairs = _short_list_pairs(met).unionByName(_long_list_pairs(met)).distinct()
     left = nodes.select(F.col("node").alias("a"), F.col("sig").alias("x"))
     right = nodes.select(F.col("node").alias("b"), F.col("sig").alias("y"))
     signed = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
@@ -451,19 +473,18 @@ def _with_long_lists(texts, nodes, met, pairs, found, linked, width: int) -> Dat
     """`linked` with what the members of long lists have in common besides the pairs tried before.
 
     Members outside the largest component of their list are tried with a few texts of their own block first, which joins
-    nearly all of a group of near copies; then what is still apart is tried with all blocks.
+    nearly all of a group of near copies; then what is still apart is tried in blocks of texts.
     """
     order = ["key", "i", "j"]
     shape = "key long, i string, j string, a long, b long"
-    tried, marked = pairs.select("a", "b"), None
+    tried, signatures = pairs.select("a", "b"), nodes.select("node", "sig", F.lit(None).cast("binary").alias("long"))
     for some in (True, False):
         members, apart = _members(met, linked)
         if apart.isEmpty():
             return linked
-        rows = (_in_own_blocks if some else _in_all_blocks)(members, apart)
-        marked = marked or _with_lists(nodes, members)
-        signed = rows.join(marked, "node").select(*order, "side", "node", "comp", "sig", "long").repartition(*order)
-        agreeing = _by_blocks(lambda group, some=some: _agreeing(group, some))
+        rows = _in_own_blocks(members, apart) if some else _in_all_blocks(members)
+        signed = rows.join(signatures, "node").select(*order, "side", "node", "comp", "sig", "long").repartition(*order)
+        agreeing = _by_blocks(lambda group, some=some: _agreeing(group, some, not some))
         close = materialize(signed.sortWithinPartitions(*order).mapInArrow(agreeing, shape))
         new = close.filter("b IS NOT NULL").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         new = materialize(new.join(tried, ["a", "b"], "left_anti"))

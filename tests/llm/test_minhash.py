@@ -129,3 +129,22 @@ def test_a_pair_comes_from_one_of_its_long_lists():
         for c in (3, 9)
     ]
     assert [f.num_rows for f in found] == [1, 0] and found[0].column(3).to_pylist() == [1]
+
+
+def test_blocks_of_a_family_meet_once_however_many_lists_it_is_in(spark, monkeypatch):
+    rows, made, tried = dense_family(), [], minhash._in_all_blocks
+
+    def counted(*args):
+        made.append(tried(*args))
+        return made[-1]
+
+    monkeypatch.setattr(minhash, "_in_all_blocks", counted)
+    assert found_in(spark, rows) == plain(plain_python.similar_groups(rows, 2, 0.8))
+    assert 0 < made[0].count() < 8 * len(rows)
+
+
+def test_pairs_of_short_lists_count_the_long_lists_that_both_may_share(spark):
+    short = [(None, None, None, None, a, b) for a, b, hits in [(1, 2, 3), (3, 4, 2), (5, 6, 2), (7, 8, 1), (3, 7, 1)] for _ in range(hits)]
+    long = [(key, 0, 0, 0, 3, b) for key, members in [(100, (3, 4, 5, 7, 8)), (200, (7, 8))] for b in members]
+    met = spark.createDataFrame(short + long, ", ".join(f"{name} long" for name in minhash._MET))
+    assert sorted(map(tuple, minhash._short_list_pairs(met).collect())) == [(1, 2), (3, 4), (7, 8)]
