@@ -31,21 +31,30 @@ def token_hashes(text: Column) -> Column:
     return F.when(words[0] == "", F.array().cast("array<bigint>")).otherwise(F.transform(words, lambda w: F.xxhash64(w)))
 
 
-def _at(tokens: str, position: Column) -> Column:
-    return F.get(F.col(tokens), position)
+def _padded(tokens: Column) -> Column:
+    """The words with as many nulls on both sides as a window can reach beyond them.
+
+    With these, `_context` is a slice. Spark compiles that with the explode before it, so that the rows that wait until
+    all positions of a text are done hold a few words each; a lambda is not compiled, and each row waits with all words.
+    """
+    around = F.array_repeat(F.lit(None).cast("bigint"), WINDOW - 1)
+    return F.concat(around, tokens, around)
+
+
+def _count(padded: str) -> Column:
+    return F.size(padded) - F.lit(2 * (WINDOW - 1))
 
 
-def _seed(mask: int, tokens: str, position: Column) -> Column:
+def _seed(mask: int, padded: str, position: Column) -> Column:
     """Hash of one mask laid on `position`; null where it would reach beyond the last word."""
     kept = MASKS[mask]
-    h = F.xxhash64(F.lit(mask), *[_at(tokens, position + F.lit(offset)) for offset in kept])
-    return F.when(position + F.lit(kept[-1]) < F.size(tokens), h)
+    h = F.xxhash64(F.lit(mask), *[F.get(F.col(padded), position + F.lit(WINDOW - 1 + offset)) for offset in kept])
+    return F.when(position + F.lit(kept[-1]) < _count(padded), h)
 
 
-def _context(tokens: str, position: Column) -> Column:
+def _context(padded: str, position: Column) -> Column:
     """The words around a position that a window over it can reach; null outside the text."""
-    reach = F.sequence(position - F.lit(WINDOW - 1), position + F.lit(WINDOW - 1))
-    return F.transform(reach, lambda i: F.get(F.col(tokens), i))
+    return F.slice(padded, position + F.lit(1), F.lit(2 * WINDOW - 1))
 
 
 def _test_seeds(benchmark: DataFrame, item: str, text: str) -> DataFrame:
@@ -56,14 +65,15 @@ def _test_seeds(benchmark: DataFrame, item: str, text: str) -> DataFrame:
         .groupBy("t")
         .agg(F.min("item_id").alias("item_id"))
     )
-    placed = distinct.select("t", "item_id", F.explode(F.sequence(F.lit(0), F.size("t") - 1)).alias("item_at"))
+    padded = distinct.select(_padded(F.col("t")).alias("t"), "item_id")
+    placed = padded.select("t", "item_id", F.explode(F.sequence(F.lit(0), _count("t") - 1)).alias("item_at"))
     at = F.col("item_at")
     # A short item is matched whole, which its consecutive words show.
-    seeds = [F.when((F.size("t") >= WINDOW) | F.lit(m == 0), _seed(m, "t", at)) for m in range(len(MASKS))]
+    seeds = [F.when((_count("t") >= WINDOW) | F.lit(m == 0), _seed(m, "t", at)) for m in range(len(MASKS))]
     return placed.select(
         F.explode(F.array(*seeds)).alias("h"),
         "item_id",
-        F.size("t").alias("item_words"),
+        _count("t").alias("item_words"),
         "item_at",
         _context("t", at).alias("item_context"),
     ).filter(F.col("h").isNotNull())
@@ -107,13 +117,14 @@ def contaminated(
     document id are reported together; a null id is an id of its own. Other columns are not looked at.
 
     Positions of documents are tested against a bitmap of fixed size, so that only hits, with the few words around
-    them, are shuffled; a bitmap that fills up lets more rows through but loses none.
+    them, are shuffled; a bitmap that fills up lets more rows through but loses none. The hits of one text wait in memory
+    together, each with these few words only (about 230 bytes).
     """
     spark = documents.sparkSession
     seeds = materialize(_test_seeds(benchmark, item, item_text))
     bitmap = _bitmap(spark, seeds)
 
-    tokens = documents.select(F.col(doc).alias("doc_id"), token_hashes(F.col(text)).alias("t"))
+    tokens = documents.select(F.col(doc).alias("doc_id"), _padded(token_hashes(F.col(text))).alias("t"))
     at = F.col("doc_at")
 
     def known(h: Column) -> Column:
@@ -121,8 +132,7 @@ def contaminated(
         return (bits[0] + bits[1] + bits[2]) == 3
 
     hits = (
-        tokens.filter(F.size("t") >= SHORTEST)
-        .select("doc_id", "t", F.explode(F.sequence(F.lit(0), F.size("t") - SHORTEST)).alias("doc_at"))
+        tokens.select("doc_id", "t", F.explode(F.when(_count("t") >= SHORTEST, F.sequence(F.lit(0), _count("t") - SHORTEST))).alias("doc_at"))
         .select("doc_id", "t", "doc_at", F.explode(F.array(*[_seed(m, "t", at) for m in range(len(MASKS))])).alias("h"))
         .filter(F.col("h").isNotNull() & known(F.col("h")))
         .select("doc_id", "doc_at", "h", _context("t", at).alias("doc_context"))
